@@ -28,4 +28,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import queries_kpi, queries_tables  # noqa: F401
+    from . import (  # noqa: F401
+        queries_graph,
+        queries_kpi,
+        queries_learning,
+        queries_streaming,
+        queries_tables,
+    )

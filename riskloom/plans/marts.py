@@ -58,12 +58,15 @@ def feature_importance(importance: DataFrame, k: int = 10) -> DataFrame:
 
 def confusion_table(df: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """Actual by predicted, two rows."""
-    return confusion_matrix(df, label, prediction).select(
-        F.inline(F.array(
-            F.struct(F.lit("Normal").alias("Actual"), F.col("tn").alias("Predicted Normal"), F.col("fp").alias("Predicted Fraud")),
-            F.struct(F.lit("Fraud"), F.col("fn"), F.col("tp")),
-        ))
-    )
+    rows = [
+        F.struct(
+            F.lit(actual).alias("Actual"),
+            F.col(normal).alias("Predicted Normal"),
+            F.col(fraud).alias("Predicted Fraud"),
+        )
+        for actual, normal, fraud in (("Normal", "tn", "fp"), ("Fraud", "fn", "tp"))
+    ]
+    return confusion_matrix(df, label, prediction).select(F.inline(F.array(*rows)))
 
 
 def recent_alerts(scored: DataFrame, key: str = "event_id", time: str = TIME, amount: str = AMOUNT, n: int = 20) -> DataFrame:
