@@ -132,11 +132,12 @@ def local_steps(
             .select(party, F.posexplode("sums").alias("i", "v"))
             .groupBy(party, "i")
             .agg(F.sum("v").alias("v"))
-            .groupBy(party)
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda t: t["v"]).alias("sums"))
         )
-        for name, values in sums.collect():
-            values = np.array(values)
+        # parties x features^2 / 2 numbers, whatever the number of rows
+        by_party: dict[str, np.ndarray] = {}
+        for name, i, v in sums.collect():
+            by_party.setdefault(name, np.zeros(1 + size + len(upper[0])))[i] = v
+        for name, values in by_party.items():
             n = values[0]
             hessian = np.zeros((size, size))
             hessian[upper] = values[1 + size :] / n

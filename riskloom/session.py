@@ -15,6 +15,10 @@ def get_session(app_name: str = "riskloom", master: str | None = None, **conf: s
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # call sites of single expressions are not needed, and cost a call each
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # the JVM never compiles methods above 8000 bytes of bytecode; wide rows reach that
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -53,3 +57,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize `df` in the reliable checkpoint folder, so lost executors do not replay its history."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a table that is read in fewer pieces than there are cores.
+
+    A table of many files is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -3,23 +3,30 @@
 Events give time, account and amount; the embedding an event points at gives the
 28 anonymous components. The rule of the mapping is fixed, so any engine that
 reads the same tables derives the same transactions.
+
+The full table is derived once per application and kept as Parquet in the shared folder,
+as a feed would be. Queries then scan just the columns they use, and their filters reach
+the files; otherwise each would repeat the join and the arithmetic for 28 columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import AMOUNT, COMPONENTS, LABEL, TIME
-from .tables import read_table
+from ..session import spread_small, work_dir
+from .tables import read_table, write_parquet
 
 # Moduli and factors of the mapping.
 LABEL_MODULUS, LABEL_BELOW, LABEL_SQUARE, LABEL_LINEAR = 997, 20, 31, 7919
 NOISE_MODULUS, NOISE_KEY, NOISE_INDEX = 1009, 7919, 104729
 EPOCH = "2024-01-01 00:00:00"
 
+MARK = "mark"
+
 
 def _is_fraud(key: Column) -> Column:
     # reduced before squaring: the key itself squared would overflow on large tables
@@ -27,26 +34,73 @@ def _is_fraud(key: Column) -> Column:
     return (m * m * LABEL_SQUARE + m * LABEL_LINEAR) % LABEL_MODULUS < LABEL_BELOW
 
 
-def _component(i: int) -> Column:
-    noise = (F.col("_noise") + i * NOISE_INDEX) % NOISE_MODULUS
-    z = (
-        F.col("embedding")[i - 1].cast("double") * 8.0
-        + noise.cast("double") / float(NOISE_MODULUS)
-        - 0.5
+def _component(i: int) -> str:
+    """Component i as SQL text (one call per column, where operators would take a dozen)."""
+    noise = f"CAST((noise + {i * NOISE_INDEX}) % {NOISE_MODULUS} AS DOUBLE) / {NOISE_MODULUS}D"
+    return f"shift + spread * (CAST(embedding[{i - 1}] AS DOUBLE) * 8D + {noise} - 0.5D) AS V{i}"
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the transaction columns that need no embedding."""
+    seconds = (
+        F.unix_micros(F.col("ts").cast("timestamp"))
+        - F.unix_micros(F.lit(EPOCH).cast("timestamp"))
+    ) / F.lit(1e6)
+    fraud = F.col("fraud")
+    return (
+        read_table(spark, sf_dir, "events")
+        # a step of its own, so that the label is worked out once per row
+        .withColumn("fraud", _is_fraud(F.col("event_id")))
+        .select(
+            "event_id",
+            "user_id",
+            "fraud",
+            seconds.alias(TIME),
+            F.when(fraud, F.col("value") * 4.0).otherwise(F.col("value")).alias(AMOUNT),
+            fraud.cast("int").alias(LABEL),
+            F.get_json_object("props", "$.k").cast("int").alias(MARK),
+        )
+    )
+
+
+def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns, computed from the given tables. Each event has at most one embedding."""
+    embeddings = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    size = embeddings.agg(F.count("*")).scalar()
+    joined = (
+        spread_small(_events(spark, sf_dir), "event_id")
+        .withColumn("vec_id", F.col("event_id") % size)
+        .join(embeddings, "vec_id", "left")
     )
     # frauds: three times as spread and lower by two
-    return F.col("_shift") + F.col("_spread") * z
+    return joined.selectExpr(
+        "*",
+        f"event_id % {NOISE_MODULUS} * {NOISE_KEY} AS noise",
+        "IF(fraud, -2D, 0D) AS shift",
+        "IF(fraud, 3D, 1D) AS spread",
+    ).selectExpr(
+        "event_id", "user_id", TIME, *[_component(int(c[1:])) for c in COMPONENTS], AMOUNT, LABEL, MARK
+    )
+
+
+@cache
+def _stored(application: str, spark: SparkSession, sf_dir: str) -> str:
+    return write_parquet(derive(spark, sf_dir), work_dir(spark, "transactions"))
+
+
+def _table(spark: SparkSession, sf_dir: str, components: list[str]) -> DataFrame:
+    if not components:
+        return _events(spark, sf_dir)
+    return spark.read.parquet(_stored(spark.sparkContext.applicationId, spark, sf_dir))
 
 
 def transactions(
     spark: SparkSession, sf_dir: str, components: list[str] | None = None
 ) -> DataFrame:
-    """Transactions with `components` (default: all 28).
-
-    With no component asked for, the embedding table is not read and nothing is joined:
-    each event has at most one embedding, so the left join could not change the rows.
-    """
-    return _derive(spark, sf_dir, components)
+    """Transactions with `components` (default: all 28). Without any, only events are read."""
+    components = COMPONENTS if components is None else components
+    table = _table(spark, sf_dir, components)
+    return table.select("event_id", "user_id", TIME, *components, AMOUNT, LABEL)
 
 
 def raw_transactions(
@@ -54,54 +108,17 @@ def raw_transactions(
 ) -> DataFrame:
     """The feed before cleaning: events whose payload says so lack a value or carry a bad amount.
 
-    Payload `k`: 0 no V1, 1 no amount, 2 refund (negative amount), 3 zero amount.
+    Payload mark: 0 no V1, 1 no amount, 2 refund (negative amount), 3 zero amount.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
-    return _derive(
-        spark,
-        sf_dir,
-        components,
-        amount=lambda a: F.when(k == 1, F.lit(None)).when(k == 2, -a).when(k == 3, 0.0).otherwise(a),
-        v1_given=k != 0,
-    )
-
-
-def _derive(
-    spark: SparkSession,
-    sf_dir: str,
-    components: list[str] | None,
-    amount: Callable[[Column], Column] = lambda a: a,
-    v1_given: Column | None = None,
-) -> DataFrame:
     components = COMPONENTS if components is None else components
-    seconds = (
-        F.unix_micros(F.col("ts").cast("timestamp"))
-        - F.unix_micros(F.lit(EPOCH).cast("timestamp"))
-    ) / F.lit(1e6)
-    fraud = F.col("_fraud")
-    # in two steps, so that the label is worked out once per row and not per column
-    events = (
-        read_table(spark, sf_dir, "events")
-        .withColumn("_fraud", _is_fraud(F.col("event_id")))
-        .select(
-            "event_id",
-            "user_id",
-            seconds.alias(TIME),
-            amount(F.when(fraud, F.col("value") * 4.0).otherwise(F.col("value"))).alias(AMOUNT),
-            fraud.cast("int").alias(LABEL),
-            (F.col("event_id") % NOISE_MODULUS * NOISE_KEY).alias("_noise"),
-            F.when(fraud, -2.0).otherwise(0.0).alias("_shift"),
-            F.when(fraud, 3.0).otherwise(1.0).alias("_spread"),
-            *([] if v1_given is None else [v1_given.alias("_v1_given")]),
-        )
-    )
-    if components:
-        embeddings = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-        size = embeddings.agg(F.count("*")).scalar()
-        events = events.withColumn("vec_id", F.col("event_id") % size).join(embeddings, "vec_id", "left")
-    values = {name: _component(int(name[1:])) for name in components}
-    if v1_given is not None and "V1" in values:
-        values["V1"] = F.when(F.col("_v1_given"), values["V1"])
-    return events.select(
-        "event_id", "user_id", TIME, *[v.alias(name) for name, v in values.items()], AMOUNT, LABEL
+    mark, amount = F.col(MARK), F.col(AMOUNT)
+    changed = {
+        AMOUNT: F.when(mark == 1, F.lit(None)).when(mark == 2, -amount).when(mark == 3, 0.0).otherwise(amount)
+    }
+    if "V1" in components:
+        changed["V1"] = F.when(mark != 0, F.col("V1"))
+    return (
+        _table(spark, sf_dir, components)
+        .withColumns(changed)
+        .select("event_id", "user_id", TIME, *components, AMOUNT, LABEL)
     )

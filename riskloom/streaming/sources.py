@@ -13,14 +13,20 @@ from ..schema import KEYED_TRANSACTION_SCHEMA
 
 
 def csv_stream(
-    spark: SparkSession, path: str, schema: T.StructType = KEYED_TRANSACTION_SCHEMA, files_per_batch: int = 1
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType = KEYED_TRANSACTION_SCHEMA,
+    files_per_batch: int = 1,
 ) -> DataFrame:
     """A watched folder of CSV files with header; `processing_time` marks arrival."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(fields)
         .option("header", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
+        # folders named key=value would add a column
+        .select(*fields.fieldNames())
         .withColumn("processing_time", F.current_timestamp())
     )
 
