@@ -39,6 +39,8 @@ def running(
             {n: F.coalesce(F.sum(c).over(whole), F.lit(0)) for n, c in sums.items()}
             | {n: F.max(c).over(whole) for n, c in maxes.items()}
         )
+    # what leads up to the table runs once here, not again for the range bounds and the layout
+    df = cut_lineage(df)
     slot, part = "_slot", "_part"
     measures = {**sums, **maxes}
     inner = {name: f"_{name}_in" for name in measures}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, evaluation, federated, kpis, models, proximity, sampling
-from ..schema import FEATURES, LABEL, TIME
+from ..schema import FEATURES, LABEL, TIME, feed_schema
 from ..session import cut_lineage
-from ..sources.tables import register_view, write_csv, write_json, write_parquet
+from ..sources.tables import csv_columns, register_view, write_csv, write_json, write_parquet
 from ..streaming import scoring, sinks, sources
 from . import marts
 
@@ -69,6 +70,13 @@ def ml_job(df: DataFrame, out: str, keys: list[str], ratio: float = 2.0, run_id:
     return evaluation.compare_models(results[0].unionByName(results[1]), list(classifiers))
 
 
+def fit_forest(df: DataFrame, keys: list[str], ratio: float = 2.0) -> tuple[PipelineModel, DataFrame]:
+    """A random forest fitted on the balanced training side, and the test side."""
+    balanced = cut_lineage(sampling.undersample(df, keys, ratio))
+    training, test = sampling.train_test_split(balanced, keys)
+    return models.train(training, models.random_forest()), test
+
+
 def graph_job(df: DataFrame, out: str, key: str) -> str:
     """Fraud groups and the graph of frauds near in time, as one document."""
     frauds = cut_lineage(cleaning.with_label(df))
@@ -94,7 +102,8 @@ def federated_job(df: DataFrame, out: str, key: str, epsilon: float | None = Non
 
 def streaming_job(spark: SparkSession, source: str, out: str, checkpoint: str, timeout: float | None = None) -> bool:
     """Score the batches of a watched folder; True when all present input was processed."""
-    scored = scoring.apply_rules(sources.csv_stream(spark, source))
+    schema = feed_schema(csv_columns(spark, source))
+    scored = scoring.apply_rules(sources.csv_stream(spark, source, schema))
     return sinks.run_to_end(sinks.fan_out(scored, out, checkpoint), timeout)
 
 

@@ -145,11 +145,29 @@ def _(spark, sf):
     return evaluation.roc_pr_curve(predictions(spark, sf, "RandomForest"), "fraud_probability", digits=4)
 
 
-@query("model_save_load")
+# rows that undersampling keeps and the split puts on the test side
+_TEST_ROWS = (
+    f"{o.tx([])}, share AS (SELECT least(1, {o.FRAUDS} * 2e0 / {o.NORMALS}) AS f FROM tx), test AS (SELECT * FROM tx "
+    f"WHERE (Class = 1 OR {o.uniform('event_id', sampling.SAMPLE_SALT)} < (SELECT f FROM share)) "
+    f"AND {o.uniform('event_id', sampling.SPLIT_SALT)} >= 0.8)"
+)
+
+
+def same_scores(one, other):
+    """Per row, whether two tables of scores agree."""
+    columns = ["event_id", "prediction", "fraud_probability"]
+    pairs = one.select(*columns).join(
+        other.select("event_id", *[F.col(c).alias(f"other_{c}") for c in columns[1:]]), "event_id", "full"
+    )
+    agree = [F.col(c).eqNullSafe(F.col(f"other_{c}")) for c in columns[1:]]
+    return pairs.select("event_id", (agree[0] & agree[1]).alias("same"))
+
+
+@query("model_save_load", f"WITH {_TEST_ROWS} SELECT event_id, true AS same FROM test")
 def _(spark, sf):
     path = models.save_model(trained(spark, sf, "LogisticRegression"), work_dir(spark, "model"))
-    scored = models.score(models.load_model(path), samples(spark, sf)[1])
-    return scored.select("event_id", "prediction", "fraud_probability")
+    reloaded = models.score(models.load_model(path), samples(spark, sf)[1])
+    return same_scores(reloaded, predictions(spark, sf, "LogisticRegression"))
 
 
 @query(

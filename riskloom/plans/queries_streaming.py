@@ -11,7 +11,7 @@ from ..sources.transactions import transactions
 from ..streaming import scoring, sinks, sources, windows
 from . import oracle as o
 from .catalog import query
-from .queries_learning import trained
+from .queries_learning import same_scores, trained
 
 BATCHES = 4
 SLIM = ["V1", "V3", "V4", "V7", "V10"]
@@ -137,13 +137,13 @@ def _(spark, sf):
     return spark.read.parquet(f"{path}/out").agg(F.lit(finished).alias("finished"), F.count("*").alias("rows"))
 
 
-@query("stream_model_scoring")
+@query("stream_model_scoring", "SELECT event_id, true AS same FROM events")
 def _(spark, sf):
     model = load_model(save_model(trained(spark, sf, "LogisticRegression"), work_dir(spark, "model")))
     table = transactions(spark, sf)
     path = sources.write_replay(table, work_dir(spark, "replay"), ["event_id"], _per_batch(table))
     scored = scoring.apply_model(sources.csv_stream(spark, path), model)
-    return _stored(spark, scored).select("event_id", "prediction", "fraud_probability")
+    return same_scores(_stored(spark, scored), scoring.apply_model(table, model))
 
 
 # --- event time, over the event table itself ---

@@ -23,6 +23,12 @@ KEYED_TRANSACTION_SCHEMA = T.StructType(
 )
 
 
+def feed_schema(columns: list[str]) -> T.StructType:
+    """The types of a feed that has just these of the known columns, in this order."""
+    known = {f.name: f for f in KEYED_TRANSACTION_SCHEMA.fields}
+    return T.StructType([known[c] for c in columns if c in known])
+
+
 def decimals_to_double(df: DataFrame) -> DataFrame:
     """Cast every decimal in the schema to double, inside structs and arrays as well."""
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ordered import number_rows
 from ..schema import decimals_to_double
 
 
@@ -22,6 +23,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
+def csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """Column names as the header states them; no rows are read."""
+    return spark.read.option("header", True).csv(path).columns
+
+
+def with_key(df: DataFrame, time: str, name: str = "event_id") -> DataFrame:
+    """Number rows that come without a key, by time and content; not by their place in the files."""
+    mixed = df.withColumn("_mix", F.xxhash64(*df.columns))
+    return number_rows(mixed, [time, "_mix"], name).drop("_mix")
+
+
 def register_view(df: DataFrame, name: str = "transactions") -> DataFrame:
     """Name a table for SQL; returns it to keep chains going."""
     df.createOrReplaceTempView(name)

@@ -23,6 +23,8 @@ def csv_stream(
     return (
         spark.readStream.schema(fields)
         .option("header", True)
+        # columns in another order than the schema's are an error, not a silent shift
+        .option("enforceSchema", False)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
         # folders named key=value would add a column

@@ -136,3 +136,11 @@ def test_json_rows_are_all_accounted_for(spark):
 def test_binary_bodies_parse(spark):
     df = spark.createDataFrame([(bytearray(b'{"k": 7}'),)], "body binary")
     assert tables.accepted(tables.parse_json_events(df, spark.createDataFrame([], "k long").schema)).first().k == 7
+
+
+def test_keys_do_not_depend_on_layout(spark):
+    rows = [(float(i % 7), float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "Time double, Amount double")
+    keyed = lambda d: sorted((r.Amount, r.event_id) for r in tables.with_key(d, "Time").collect())
+    assert keyed(df) == keyed(df.repartition(6, "Amount"))
+    assert sorted(k for _, k in keyed(df)) == list(range(1, 51))

@@ -2,9 +2,11 @@ import datetime as dt
 
 import pytest
 
+from riskloom.__main__ import main
 from riskloom.operators import evaluation, kpis, models, sampling
 from riskloom.plans import jobs
 from riskloom.schema import KEYED_TRANSACTION_SCHEMA
+from riskloom.sources import tables
 from riskloom.sources.transactions import raw_transactions, transactions
 from riskloom.streaming import scoring, sinks, sources, windows
 
@@ -121,6 +123,27 @@ def test_ml_graph_and_dashboard_jobs(spark, sf, tmp_path):
     assert counts["hourly_transactions"] == 24 and counts["confusion_matrix"] == 2 and counts["feature_importance"] == 10
 
 
+def test_shell_runs_jobs_on_a_keyless_csv(spark, sf, tmp_path):
+    feed = transactions(spark, sf).drop("event_id", "user_id")
+    path = tables.write_csv(feed, str(tmp_path / "feed"))
+    for job in ("kpi", "dashboard"):
+        main([job, "--input", path, "--output", str(tmp_path / job)])
+    assert spark.read.json(str(tmp_path / "kpi/sql_metrics")).count() == 1
+    assert spark.read.json(str(tmp_path / "dashboard/overview_metrics")).first().total_transactions == 1000
+    main(["replay", "--input", path, "--output", str(tmp_path / "batches"), "--rows-per-batch", "400"])
+    main(["stream", "--input", str(tmp_path / "batches"), "--output", str(tmp_path / "scored")])
+    scored = spark.read.parquet(str(tmp_path / "scored/predictions/batch=*"))
+    expected = scoring.apply_rules(transactions(spark, sf)).select("Time", "Amount", "Class", "fraud_score")
+    assert sorted(scored.select(expected.columns).collect()) == sorted(expected.collect())
+
+
+def test_shuffled_columns_stop_the_stream(spark, tmp_path):
+    path = tables.write_csv(spark.createDataFrame([(1, 2.0)], "Class int, Time double"), str(tmp_path / "feed"))
+    stream = sources.csv_stream(spark, path, "Time double, Class int")
+    with pytest.raises(Exception):
+        sinks.run_to_end(sinks.to_parquet(stream, str(tmp_path / "o"), str(tmp_path / "c")))
+
+
 def test_federated_job_with_noise(spark, sf, tmp_path):
     history = jobs.federated_job(transactions(spark, sf), str(tmp_path), "event_id", epsilon=100.0)
     assert history.count() == 15
