@@ -33,14 +33,14 @@ def running(
     sums, maxes = sums or {}, maxes or {}
     small_rows = SMALL_TABLE_ROWS if small_rows is None else small_rows
     stop = -1 if before else Window.currentRow
+    # what leads up to the table runs once, not again for the count, the bounds and the layout
+    df = cut_lineage(df)
     if small_rows and df.count() <= small_rows:
         whole = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, stop)
         return df.withColumns(
             {n: F.coalesce(F.sum(c).over(whole), F.lit(0)) for n, c in sums.items()}
             | {n: F.max(c).over(whole) for n, c in maxes.items()}
         )
-    # what leads up to the table runs once here, not again for the range bounds and the layout
-    df = cut_lineage(df)
     slot, part = "_slot", "_part"
     measures = {**sums, **maxes}
     inner = {name: f"_{name}_in" for name in measures}
@@ -103,15 +103,14 @@ def exact_quantiles(
     by = by or []
     counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     ranked = running(counted, [*by, value], sums={"_upto": F.col("_n")})
-    ends = ranked.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(
-        F.min(F.col("_upto") - F.col("_n")).alias("_base"), F.max("_upto").alias("_end")
-    )
     if by:
-        on = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
-        located = ranked.join(ends, on)
+        ends = ranked.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(
+            F.min(F.col("_upto") - F.col("_n")).alias("_base"), F.max("_upto").alias("_end")
+        )
+        located = ranked.join(ends, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
     else:
         located = ranked.withColumns(
-            {"_base": F.lit(0).cast("long"), "_end": ends.select("_end").scalar()}
+            {"_base": F.lit(0).cast("long"), "_end": df.agg(F.count(value)).scalar()}
         )
     first = F.col("_upto") - F.col("_n") - F.col("_base")
     last = F.col("_upto") - 1 - F.col("_base")

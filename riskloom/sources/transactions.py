@@ -85,7 +85,10 @@ def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @cache
 def _stored(application: str, spark: SparkSession, sf_dir: str) -> str:
-    return write_parquet(derive(spark, sf_dir), work_dir(spark, "transactions"))
+    # sorted, so that the files are the same whatever order a shuffle delivered the rows in;
+    # ids rise with time, which also narrows the value ranges per file
+    rows = derive(spark, sf_dir).sortWithinPartitions("event_id")
+    return write_parquet(rows, work_dir(spark, "transactions"))
 
 
 def _table(spark: SparkSession, sf_dir: str, components: list[str]) -> DataFrame:
