@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from . import license_scan, quality_rules
+import public_tokenizers
+
+from . import bpe, language_id, license_scan, quality_classifier, quality_rules
 from .common import Query, read
 
 QUERIES: dict[str, Query] = {
+    "op2_language_id": lambda spark, sf_dir: language_id.digest(read(spark, sf_dir, "documents")),
+    "op5_quality_classifier": lambda spark, sf_dir: quality_classifier.digest(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    ),
     "op6_quality_rules": lambda spark, sf_dir: quality_rules.digest(read(spark, sf_dir, "documents")),
+    "op7_bpe": lambda spark, sf_dir: bpe.digest(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    ),
     "op8_license_scan": lambda spark, sf_dir: license_scan.digest(read(spark, sf_dir, "documents")),
 }
 
