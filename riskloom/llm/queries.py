@@ -4,11 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, language_id, license_scan, quality_classifier, quality_rules
+from . import (
+    bpe,
+    html_extract,
+    language_id,
+    license_scan,
+    quality_classifier,
+    quality_rules,
+    warc,
+)
 from .common import Query, read
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extract": lambda spark, sf_dir: html_extract.digest(read(spark, sf_dir, "pages")),
     "op2_language_id": lambda spark, sf_dir: language_id.digest(read(spark, sf_dir, "documents")),
+    "op3_warc": lambda spark, sf_dir: warc.digest(spark, read(spark, sf_dir, "pages")),
     "op5_quality_classifier": lambda spark, sf_dir: quality_classifier.digest(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     ),
@@ -20,6 +30,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_warc": warc.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op8_license_scan": license_scan.SQL,
 }
