@@ -35,30 +35,46 @@ def degrees(edges: DataFrame) -> DataFrame:
     return both_ways(undirected(edges)).groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
 
 
+def with_least(rows: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """Each row with the least `value` of its key, however many rows a key has.
+
+    Rows are dealt to slots within their key; the least of each slot meets by key, and goes back
+    only to the slots that are there, so a hub fills as many tasks as the session shuffles to.
+    """
+    slots = max(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.withColumn("_slot", F.pmod(F.xxhash64(value), F.lit(slots)).cast("int"))
+    least = (
+        dealt.groupBy(key, "_slot")
+        .agg(F.min(value).alias(out))
+        .groupBy(key)
+        .agg(F.min(out).alias(out), F.collect_list("_slot").alias("_slots"))
+        .select(key, out, F.explode("_slots").alias("_slot"))
+    )
+    return dealt.join(least, [key, "_slot"]).drop("_slot")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(id, component): component is the smallest id that can be reached.
 
     Alternates two star operations: every vertex hands its larger, then its smaller
     neighbours the smallest id it knows. The edge table shrinks to one star per component
     within a number of rounds logarithmic in the size, not the diameter. Each round is
-    materialized, and stops the loop when it changed nothing.
+    materialized, and stops the loop when it changed nothing. `max_rounds` only guards against
+    a loop that would not end.
     """
     stars = cut_lineage(undirected(edges))
     everyone = vertices_of(stars)
     mark = _fingerprint(stars)
     for _ in range(max_rounds):
-        around = both_ways(stars)
-        least = around.groupBy(F.col("src").alias("hub")).agg(F.min("dst").alias("low"))
         wider = (
-            around.join(least, F.col("src") == F.col("hub"))
+            with_least(both_ways(stars), "src", "dst", "low")
             .filter(F.col("dst") > F.col("src"))
             .select(F.col("dst").alias("src"), F.least("low", "src").alias("dst"))
             .distinct()
         )
         # from here every edge points from a larger to a smaller id
-        least = wider.groupBy(F.col("src").alias("hub")).agg(F.min("dst").alias("low"))
         stars = cut_lineage(
-            wider.join(least, F.col("src") == F.col("hub"))
+            with_least(wider, "src", "dst", "low")
             .select(F.when(F.col("dst") == F.col("low"), F.col("src")).otherwise(F.col("dst")).alias("src"), F.col("low").alias("dst"))
             .distinct()
         )
