@@ -9,6 +9,8 @@ from . import (
     html_extract,
     language_id,
     license_scan,
+    mixing,
+    near_dedup,
     quality_classifier,
     quality_rules,
     warc,
@@ -27,6 +29,8 @@ QUERIES: dict[str, Query] = {
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     ),
     "op8_license_scan": lambda spark, sf_dir: license_scan.digest(read(spark, sf_dir, "documents")),
+    "op9_mixing": lambda spark, sf_dir: mixing.digest(read(spark, sf_dir, "documents")),
+    "op10_near_dedup": lambda spark, sf_dir: near_dedup.digest(read(spark, sf_dir, "documents")),
 }
 
 ORACLES: dict[str, str] = {
