@@ -13,6 +13,7 @@ from . import (
     near_dedup,
     quality_classifier,
     quality_rules,
+    topk_search,
     warc,
 )
 from .common import Query, read
@@ -21,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op1_html_extract": lambda spark, sf_dir: html_extract.digest(read(spark, sf_dir, "pages")),
     "op2_language_id": lambda spark, sf_dir: language_id.digest(read(spark, sf_dir, "documents")),
     "op3_warc": lambda spark, sf_dir: warc.digest(spark, read(spark, sf_dir, "pages")),
+    "op4_topk_search": lambda spark, sf_dir: topk_search.digest(read(spark, sf_dir, "embeddings")),
     "op5_quality_classifier": lambda spark, sf_dir: quality_classifier.digest(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     ),
@@ -35,6 +37,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op3_warc": warc.SQL,
+    "op4_topk_search": topk_search.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op8_license_scan": license_scan.SQL,
 }
