@@ -355,7 +355,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: int = 80) -> DataFrame:
-    """One document of each class, with the columns of `docs`; rows equal to a kept one stay with it."""
+    """One document of each class, with the columns of `docs`; rows equal to a kept one go."""
     chosen = classes(docs, threshold).filter(kept(F.col("doc_id"), F.col("component_id"))).select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(chosen, "doc_id", "left_semi")
+    named = docs.filter(F.col("doc_id").isNotNull()).join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return named.unionByName(docs.filter(F.col("doc_id").isNull()))
