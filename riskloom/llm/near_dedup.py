@@ -14,8 +14,9 @@ The steps, none of which lists all pairs of a group:
 2. Bands that several documents share: each document is paired with the smallest id of the band.
    Pairs whose estimate can reach the threshold are verified; their links make first classes.
 3. Where a band still holds several classes, its documents are compared block by block inside
-   tasks, and only pairs across classes whose estimate can reach the threshold come out. They are
-   verified too. So every pair that shares a band is linked, in one class already, or ruled out.
+   tasks, each pair in the first band it shares. Pairs across classes whose estimate can reach the
+   threshold are verified there on the full sets, and as many links as join the classes come out.
+   So every pair that shares a band is linked, in one class already, or ruled out.
 4. Classes are the connected components of all verified links.
 
 With the bands chosen, two documents at the threshold share none with a chance below
@@ -33,6 +34,7 @@ import hashlib
 import math
 from collections import OrderedDict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -146,20 +148,66 @@ def _chance(x: np.ndarray) -> np.ndarray:
     return np.maximum(-np.log1p(-np.maximum(x, 0) * (BASE - 1) / BASE) / math.log(BASE), 1e-12)
 
 
-def near_pairs(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, floor: float) -> tuple:
-    """Indices of the pairs of two blocks of sketches whose estimate reaches `floor`."""
+def near_pairs(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, floor: float, rows: int, band: int) -> tuple:
+    """Pairs of two blocks of sketches that share no band before `band` and whose estimate reaches `floor`.
+
+    Gives the indices, most similar first.
+    """
     equal = np.zeros((len(a), len(b)), dtype=np.int16)
-    for r in range(REGISTERS):
-        equal += a[:, r, None] == b[None, :, r]
+    seen = np.zeros(equal.shape, dtype=bool)
+    for first in range(0, REGISTERS, rows):
+        whole = np.ones(equal.shape, dtype=bool)
+        for r in range(first, min(first + rows, REGISTERS)):
+            same = a[:, r, None] == b[None, :, r]
+            equal += same
+            whole &= same
+        if first // rows < band:
+            seen |= whole
     sizes = np.minimum(n_a[:, None], n_b[None, :]) >= floor * np.maximum(n_a[:, None], n_b[None, :])
-    x, y = np.nonzero((equal >= (floor - 0.05) * REGISTERS) & sizes)
-    kept = [np.empty(0, dtype=bool)]
+    x, y = np.nonzero((equal >= (floor - 0.05) * REGISTERS) & sizes & ~seen)
+    found = [np.empty(0)]
     for at in range(0, len(x), 4096):
         i, j = x[at : at + 4096], y[at : at + 4096]
-        higher, lower = (a[i] > b[j]).sum(axis=1), (a[i] < b[j]).sum(axis=1)
-        kept.append(estimate(higher, lower, n_a[i], n_b[j]) >= floor)
-    good = np.concatenate(kept)
-    return x[good], y[good]
+        found.append(estimate((a[i] > b[j]).sum(axis=1), (a[i] < b[j]).sum(axis=1), n_a[i], n_b[j]))
+    likely = np.concatenate(found)
+    order = np.argsort(-likely, kind="stable")[: int((likely >= floor).sum())]
+    return x[order], y[order]
+
+
+def links_of(part: pd.DataFrame, floor: float, threshold: int, rows: int) -> pd.DataFrame:
+    """Links between classes in two blocks of a band, verified on the sets; as many as join the classes."""
+    low, high = part["low"].iloc[0], part["high"].iloc[0]
+    a = part[part["block"] == low].reset_index(drop=True)
+    b = part[part["block"] == high].reset_index(drop=True) if high != low else a
+    x, y = near_pairs(
+        _registers(a["sketch"]), _registers(b["sketch"]), a["n_shingles"].to_numpy(), b["n_shingles"].to_numpy(),
+        floor, rows, int(part["number"].iloc[0]),
+    )
+    if high == low:
+        x, y = x[x < y], y[x < y]
+    root = {c: c for c in part["class"]}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    @lru_cache(maxsize=2 * BLOCK)
+    def runs(side, i):
+        return frozenset(np.frombuffer((b if side else a)["runs"][i], dtype=np.uint64).tolist())
+
+    a_class, b_class = a["class"].tolist(), b["class"].tolist()
+    found = []
+    for i, j in zip(x.tolist(), y.tolist()):
+        one, other = find(a_class[i]), find(b_class[j])
+        if one == other:
+            continue
+        left, right = runs(0, i), runs(1, j)
+        shared = len(left & right)
+        if 100 * shared >= threshold * (len(left) + len(right) - shared):
+            root[one] = other
+            found.append((a["node"][i], b["node"][j]))
+    return pd.DataFrame(found, columns=["src", "dst"], dtype="int64")
 
 
 def _registers(column: pd.Series) -> np.ndarray:
@@ -200,16 +248,16 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def _bands(nodes: DataFrame, rows: int) -> DataFrame:
-    """(band, node): a row per document and band."""
+    """(node, number, band): a row per document and band."""
     width = 2 * rows
     return nodes.select(
         F.col("node"),
-        F.explode(
+        F.posexplode(
             F.transform(
                 F.sequence(F.lit(0), F.lit(REGISTERS // rows - 1)),
                 lambda i: F.xxhash64(i, F.substring("sketch", i * width + 1, F.lit(width))),
             )
-        ).alias("band"),
+        ).alias("number", "band"),
     )
 
 
@@ -232,12 +280,10 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
     return both.mapInPandas(run, "src long, dst long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
-    """The pairs whose full sets reach `threshold` percent. `docs`: (doc_id, text)."""
-    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("doc_id")).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi")
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, runs): the full sets of the wanted nodes. `docs`: (doc_id, text)."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -245,8 +291,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
                 made = [shingler.runs(shingler.words(t)).tobytes() for t in piece.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(made, pa.binary())], names=["node", "runs"])
 
-    held = _stored(texts.select("doc_id", "text").mapInArrow(sets, "node long, runs binary"), "near-sets")
-    side = lambda end: held.select(F.col("node").alias(end), F.col("runs").alias(f"r_{end}"))
+    texts = docs.join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    return _stored(texts.select("doc_id", "text").mapInArrow(run, "node long, runs binary"), "near-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs whose full sets reach `threshold` percent."""
+    side = lambda end: sets.select(F.col("node").alias(end), F.col("runs").alias(f"r_{end}"))
     both = pairs.join(side("src"), "src").join(side("dst"), "dst")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,34 +313,28 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
     return both.select("src", "dst", "r_src", "r_dst").mapInArrow(run, "src long, dst long")
 
 
-def _across(members: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
-    """Pairs of one band and of different classes whose estimate reaches `floor`.
+def _across(members: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int, rows: int) -> DataFrame:
+    """Verified links between documents of one band and of different classes.
 
-    `members`: (band, node, class, n), n being the band's documents. Blocks of a band meet in pairs.
+    `members`: (band, number, node, class, n), n being the band's documents. Blocks of a band meet
+    in pairs.
     """
+    floor = threshold / 100 - MARGIN
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int"))
-    met = dealt.select(
-        "band", "node", "class", "block",
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
-    ).select(
-        "band", "node", "class", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    )
-    rows = met.join(nodes.select("node", "n_shingles", "sketch"), "node")
-
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        low, high = part["low"].iloc[0], part["high"].iloc[0]
-        a = part[part["block"] == low]
-        b = part[part["block"] == high]
-        x, y = near_pairs(
-            _registers(a["sketch"]), _registers(b["sketch"]), a["n_shingles"].to_numpy(), b["n_shingles"].to_numpy(), floor
+    key = ["band", "low", "high"]
+    met = (
+        members.withColumn("block", F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int"))
+        .select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+        .select(
+            "band", "number", "node", "class", "block",
+            F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         )
-        src, dst = a["node"].to_numpy()[x], b["node"].to_numpy()[y]
-        apart = (a["class"].to_numpy()[x] != b["class"].to_numpy()[y]) & ((low != high) | (src < dst))
-        src, dst = src[apart], dst[apart]
-        return pd.DataFrame({"src": np.minimum(src, dst), "dst": np.maximum(src, dst)})
-
-    return rows.groupBy("band", "low", "high").applyInPandas(compare, "src long, dst long").distinct()
+    )
+    full = met.join(nodes.select("node", "n_shingles", "sketch"), "node").join(sets, "node")
+    slots = max(64, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return full.repartition(slots, *key).groupBy(*key).applyInPandas(
+        lambda part: links_of(part, floor, threshold, rows), "src long, dst long"
+    )
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -319,20 +364,20 @@ def classes(docs: DataFrame, threshold: int = 85, doc_id: str = "doc_id", text:
     members = _stored(bands.join(shared, "band"), "near-members")
     stars = members.filter(F.col("node") != F.col("first")).select(F.col("first").alias("src"), F.col("node").alias("dst"))
     stars = _stored(_estimated(stars.distinct(), nodes, floor), "near-stars")
-    links = _stored(_verified(stars, texts, threshold), "near-links")
+    ends = stars.select(F.explode(F.array("src", "dst")).alias("node"))
+    sets = _sets(texts, ends.unionByName(members.filter("n > 2").select("node")).distinct())
+    links = _stored(_verified(stars, sets, threshold), "near-links")
     found = _stored(connected_components(links), "near-classes")
 
     # bands of more than two documents that are not of one class yet
     labelled = members.filter("n > 2").join(found.withColumnRenamed("id", "node"), "node", "left").select(
-        "band", "node", "n", F.coalesce("component", "node").alias("class")
+        "band", "number", "node", "n", F.coalesce("component", "node").alias("class")
     )
     labelled = _stored(labelled, "near-labelled")
     mixed = labelled.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
     mixed = _stored(mixed.select("band"), "near-mixed")
-    across = _stored(_across(labelled.join(mixed, "band"), nodes, floor).join(stars, ["src", "dst"], "left_anti"), "near-across")
-    more = _verified(across, texts, threshold)
-    everything = links.unionByName(_stored(more, "near-more"))
-    final = connected_components(everything)
+    more = _stored(_across(labelled.join(mixed, "band"), nodes, sets, threshold, rows), "near-more")
+    final = _stored(connected_components(links.unionByName(more)), "near-components")
 
     placed = same.join(final.withColumnRenamed("id", "node"), "node", "left").select(
         "doc_id", "digest", "n_shingles", F.coalesce("component", "node").alias("component_id")

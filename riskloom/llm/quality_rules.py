@@ -127,6 +127,16 @@ def apply_policy(rows: DataFrame, version: str = LATEST) -> DataFrame:
     return rows.withColumn("kept", F.col("failed_bits").bitwiseAND(F.lit(mask(POLICIES[version]))) == 0)
 
 
+def passing(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """`columns` of the rows that the applied policy keeps.
+
+    The mark keeps the optimizer from copying the measurements into the filter, where each would be
+    evaluated once per mention.
+    """
+    marked = rows.withColumn("_mark", F.monotonically_increasing_id())
+    return marked.filter((F.col("_mark") >= 0) & F.col("kept")).select(*columns)
+
+
 def ablations(rows: DataFrame, version: str = LATEST) -> DataFrame:
     """Per rule of the policy: texts that fail it, and texts that only it rejects."""
     rules = POLICIES[version]
