@@ -31,7 +31,7 @@ def _carried(docs: DataFrame) -> DataFrame:
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule of the latest policy rejects."""
     rows = quality_rules.apply_policy(quality_rules.ledger(_carried(docs)))
-    return rows.filter("kept").select("_row.*")
+    return quality_rules.passing(rows, ["_row.*"])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
