@@ -145,6 +145,8 @@ def fit(docs: DataFrame, rows: int = 5_000, text: str = "text", lang: str = "lan
                     seen[_NAMES[script]] += k
         for name, table in tables.items():
             at = np.flatnonzero(table)
+            if not len(at):
+                continue
             yield pd.DataFrame({"lang": name, "script": "", "bucket": at.astype("int32"), "n": table[at]})
             yield pd.DataFrame({"lang": name, "script": list(scripts[name]), "bucket": -1, "n": list(scripts[name].values())})
 
@@ -181,6 +183,8 @@ class Labeller:
 
     def learn(self, words: set[str]) -> None:
         """Score the words not met before."""
+        if not self.model.languages:
+            return
         if len(self.known) > REMEMBERED:
             self.known, self.scores = {}, self.scores[:0]
         new = [w for w in words if w not in self.known]
