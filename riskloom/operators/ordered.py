@@ -1,9 +1,10 @@
 """Running totals and exact quantiles over a global order, without a single-task window.
 
-Tables proven small by a count take one plain window. All others are laid out by range, so that each partition holds a contiguous stretch of the
-order. A window then runs inside each partition only, and the few per-partition totals
-(one row per partition) carry the sums forward. Equal values do not pile up: the range
-bounds are drawn over all order columns, so a tie on the first is split by the next.
+Rows are laid out by range, so that each partition holds a contiguous stretch of the order. A
+window then runs inside each partition only, and the few per-partition totals (one row per
+partition) carry the sums forward. Equal values do not pile up: the range bounds are drawn over
+all order columns, so a tie on the first is split by the next. How many ranges a table gets is
+left to adaptive execution.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Up to this many rows (counted, not guessed) one sorted task beats laying out ranges.
-SMALL_TABLE_ROWS = 200_000
+# Accuracy of the sketch that brackets a quantile: the values of two such shares of the rows on
+# either side of the wanted rank are ordered exactly.
+SKETCH_ACCURACY = 100_000
 
 
 def running(
@@ -23,24 +25,14 @@ def running(
     sums: dict[str, Column] | None = None,
     maxes: dict[str, Column] | None = None,
     before: bool = False,
-    small_rows: int | None = None,
 ) -> DataFrame:
     """Add cumulative sums and maxima over the whole table in the given order.
 
     `before=True` leaves the row itself out (the first row gets sum 0 and max null).
-    `order` must be unique per row.
+    `order` must be unique per row. The table is stored once, in its order.
     """
     sums, maxes = sums or {}, maxes or {}
-    small_rows = SMALL_TABLE_ROWS if small_rows is None else small_rows
     stop = -1 if before else Window.currentRow
-    # what leads up to the table runs once, not again for the count, the bounds and the layout
-    df = cut_lineage(df)
-    if small_rows and df.count() <= small_rows:
-        whole = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, stop)
-        return df.withColumns(
-            {n: F.coalesce(F.sum(c).over(whole), F.lit(0)) for n, c in sums.items()}
-            | {n: F.max(c).over(whole) for n, c in maxes.items()}
-        )
     slot, part = "_slot", "_part"
     measures = {**sums, **maxes}
     inner = {name: f"_{name}_in" for name in measures}
@@ -96,42 +88,66 @@ def exact_quantiles(
 ) -> DataFrame:
     """Interpolated quantiles of a numeric column, one row per group (or one in all).
 
-    `percentile` would gather all distinct values of a group in one task. Here values are
-    counted first (combined before the shuffle), the counts are summed along the order, and
-    only the rows next to the wanted ranks go on.
+    A sketch brackets each wanted rank, rows below the bracket are only counted, and just the
+    values inside it are ordered: two passes over the table and no global order. The sketch's
+    error is bounded, so the rank is always inside.
     """
     by = by or []
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    ranked = running(counted, [*by, value], sums={"_upto": F.col("_n")})
+    names = list(probs)
+    known = df.filter(F.col(value).isNotNull()).select(*by, value)
+    step = 2 / SKETCH_ACCURACY
+    points = [min(max(probs[name] + shift, 0.0), 1.0) for name in names for shift in (-step, step)]
+    brackets = known.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(
+        F.count("*").alias("_size"),
+        F.percentile_approx(value, points, SKETCH_ACCURACY).alias("_bracket"),
+    )
     if by:
-        ends = ranked.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(
-            F.min(F.col("_upto") - F.col("_n")).alias("_base"), F.max("_upto").alias("_end")
-        )
-        located = ranked.join(ends, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
+        # one row per group; joined by whatever its size allows
+        held = known.join(brackets, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]).drop(*[f"_of_{c}" for c in by])
     else:
-        located = ranked.withColumns(
-            {"_base": F.lit(0).cast("long"), "_end": df.agg(F.count(value)).scalar()}
-        )
-    first = F.col("_upto") - F.col("_n") - F.col("_base")
-    last = F.col("_upto") - 1 - F.col("_base")
-    size = F.col("_end") - F.col("_base")
-    ranks = {}
-    for name, p in probs.items():
-        exact = (size - 1) * F.lit(float(p))
-        low = F.floor(exact)
-        ranks[name] = (low, F.ceil(exact), exact - low)
-    wanted = None
-    for low, high, _ in ranks.values():
-        hit = ((first <= low) & (low <= last)) | ((first <= high) & (high <= last))
-        wanted = hit if wanted is None else wanted | hit
-    near = located.filter(wanted)
-    holds = lambda rank: F.when((first <= rank) & (rank <= last), F.col(value))
-    return near.groupBy(*by).agg(
-        *[
-            (
-                F.max(holds(low))
-                + (F.max(holds(high)) - F.max(holds(low))) * F.max(weight)
-            ).alias(name)
-            for name, (low, high, weight) in ranks.items()
-        ]
+        held = known.withColumns({c: brackets.select(c).scalar() for c in ("_size", "_bracket")})
+    v = F.col(value)
+    low = {name: F.get("_bracket", F.lit(2 * i)) for i, name in enumerate(names)}
+    high = {name: F.get("_bracket", F.lit(2 * i + 1)) for i, name in enumerate(names)}
+    # values below a bracket become one row per group, those inside keep theirs
+    inside = {name: (v >= low[name]) & (v <= high[name]) for name in names}
+    any_inside = F.lit(False)
+    for hit in inside.values():
+        any_inside = any_inside | hit
+    counted = held.groupBy(*by, F.when(any_inside, v).alias("_value")).agg(
+        F.count("*").alias("_n"),
+        F.first("_size").alias("_size"),
+        *[F.count_if(v < low[name]).alias(f"_below_{i}") for i, name in enumerate(names)],
+        *[F.max(inside[name]).alias(f"_in_{i}") for i, name in enumerate(names)],
+        *[F.max(F.when(v < low[name], v)).alias(f"_under_{i}") for i, name in enumerate(names)],
+        *[F.min(F.when(v > high[name], v)).alias(f"_over_{i}") for i, name in enumerate(names)],
+    )
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    line = group.orderBy("_value")
+    ranked = counted.withColumns(
+        {f"_base_{i}": F.sum(f"_below_{i}").over(group) for i in range(len(names))}
+        | {
+            f"_upto_{i}": F.sum(F.when(F.col(f"_in_{i}") & F.col("_value").isNotNull(), F.col("_n")).otherwise(0)).over(line)
+            for i in range(len(names))
+        }
     )
+    wanted = {}
+    for i, name in enumerate(names):
+        exact = (F.col("_size") - 1) * F.lit(float(probs[name]))
+        last = F.col(f"_base_{i}") + F.col(f"_upto_{i}") - 1
+        first = last - F.col("_n") + 1
+        own = F.col(f"_in_{i}") & F.col("_value").isNotNull()
+        # between two ranks one may be the neighbour of the bracket
+        ends = F.max(F.col(f"_base_{i}")), F.max(F.col(f"_base_{i}") + F.col(f"_upto_{i}"))
+        under, over = F.max(f"_under_{i}"), F.min(f"_over_{i}")
+
+        def at(rank, own=own, first=first, last=last, ends=ends, under=under, over=over):
+            whole = F.max(rank)
+            return F.coalesce(
+                F.max(F.when(own & (first <= rank) & (rank <= last), F.col("_value"))),
+                F.when(whole < ends[0], under).when(whole >= ends[1], over),
+            )
+
+        lower = at(F.floor(exact))
+        wanted[name] = lower + (at(F.ceil(exact)) - lower) * F.max(exact - F.floor(exact))
+    return ranked.groupBy(*by).agg(*[c.alias(name) for name, c in wanted.items()])

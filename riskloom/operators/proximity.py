@@ -25,14 +25,36 @@ def _ticks(time: Column) -> Column:
     return F.round(time * TICKS_PER_SECOND).cast("long")
 
 
+# Counts of pairs and triples are whole decimals: exact, whatever the size and order of summing.
+_WHOLE = "decimal(38,0)"
+
+
+def _whole(n: Column) -> Column:
+    return n.cast("decimal(19,0)")
+
+
+def _part(n: Column, by: Column) -> Column:
+    """n, which `by` divides, over `by`."""
+    return ((n - n % by) / by).cast("long")
+
+
 def _pairs(n: Column) -> Column:
-    n = n.cast("double")
-    return n * (n - 1) / 2
+    """n (n - 1) / 2, the even factor halved first."""
+    n = n.cast("long")
+    even = n % 2 == 0
+    return (_whole(F.when(even, F.shiftright(n, 1)).otherwise(n)) * _whole(F.when(even, n - 1).otherwise(F.shiftright(n - 1, 1)))).cast(_WHOLE)
 
 
 def _triples(n: Column) -> Column:
-    n = n.cast("double")
-    return n * (n - 1) * (n - 2) / 6
+    """n (n - 1) (n - 2) / 6, with the factors divided first that 2 and 3 divide."""
+    n = n.cast("long")
+    twos = [F.when(n % 2 == 0, 2).otherwise(1), F.when(n % 2 == 0, 1).otherwise(2), F.lit(1)]
+    threes = [F.when(n % 3 == r, 3).otherwise(1) for r in range(3)]
+    product = None
+    for step, (two, three) in enumerate(zip(twos, threes)):
+        factor = _whole(_part(n - step, two * three))
+        product = factor if product is None else (product * factor).cast(_WHOLE)
+    return product
 
 
 def time_groups(df: DataFrame, key: str, time: str, seconds: float = LINK_SECONDS) -> DataFrame:
@@ -96,14 +118,14 @@ def time_neighbours(df: DataFrame, key: str, time: str, seconds: float = LINK_SE
 def time_graph_summary(df: DataFrame, key: str, time: str, seconds: float = LINK_SECONDS) -> DataFrame:
     """Vertices, edges, triangles and density of the graph of transactions near in time."""
     same, right = F.col("same"), F.col("right")
-    edges = _pairs(same) + same * right
+    edges = _pairs(same) + _whole(same) * _whole(right)
     # each triangle is counted at its earliest time, with 3, 2 or 1 corners there; the later
     # corners lie in one window and so are linked to each other
-    triangles = _triples(same) + _pairs(same) * right + same * _pairs(right)
+    triangles = _triples(same) + (_pairs(same) * _whole(right)).cast(_WHOLE) + (_whole(same) * _pairs(right)).cast(_WHOLE)
     sums = time_groups(df, key, time, seconds).agg(
         F.coalesce(F.sum("same"), F.lit(0)).alias("vertices"),
-        F.coalesce(F.sum(edges), F.lit(0.0)).cast("long").alias("edges"),
-        F.coalesce(F.sum(triangles), F.lit(0.0)).cast("long").alias("triangles"),
+        F.coalesce(F.sum(edges.cast(_WHOLE)), F.lit(0)).cast(_WHOLE).alias("edges"),
+        F.coalesce(F.sum(triangles.cast(_WHOLE)), F.lit(0)).cast(_WHOLE).alias("triangles"),
     )
     return sums.withColumn("density", F.round(density(F.col("vertices"), F.col("edges")), 6))
 
@@ -113,8 +135,8 @@ def time_clustering(df: DataFrame, key: str, time: str, seconds: float = LINK_SE
     width = round(seconds * TICKS_PER_SECOND)
     groups = time_groups(df, key, time, seconds)
     marks = F.array(
-        F.struct(F.col("tick").alias("at"), F.lit(0).alias("kind"), (F.col("same") * F.col("reach")).alias("v")),
-        F.struct((F.col("tick") - width).alias("at"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("v")),
+        F.struct(F.col("tick").alias("at"), F.lit(0).alias("kind"), (_whole(F.col("same")) * _whole(F.col("reach"))).cast(_WHOLE).alias("v")),
+        F.struct((F.col("tick") - width).alias("at"), F.lit(1).alias("kind"), F.lit(0).cast(_WHOLE).alias("v")),
     )
     columns = ["tick", "same", "upto", "reach", "left", "right"]
     swept = running(
@@ -124,10 +146,9 @@ def time_clustering(df: DataFrame, key: str, time: str, seconds: float = LINK_SE
     # the running sum includes the point's own share
     at_point = F.max(F.when(F.col("kind") == 0, F.col("sum_reach") - F.col("v")))
     others, left, right = F.col("same") - 1, F.col("left"), F.col("right")
-    across = F.col("reach_of_left") - left * F.col("upto")
-    triangles = (
-        _pairs(left) + _pairs(others) + _pairs(right) + others * left + others * right + across
-    ).cast("long")
+    across = F.col("reach_of_left") - _whole(left) * _whole(F.col("upto"))
+    near = _whole(others) * (_whole(left) + _whole(right))
+    triangles = (_pairs(left) + _pairs(others) + _pairs(right) + near.cast(_WHOLE) + across.cast(_WHOLE)).cast(_WHOLE)
     per_time = (
         swept.groupBy("tick")
         .agg(
@@ -139,7 +160,7 @@ def time_clustering(df: DataFrame, key: str, time: str, seconds: float = LINK_SE
             (others + left + right).alias("degree"),
             triangles.alias("triangles"),
         )
-        .withColumn("clustering", ratio(F.col("triangles"), _pairs(F.col("degree"))))
+        .withColumn("clustering", ratio(F.col("triangles").cast("double"), _pairs(F.col("degree")).cast("double")))
     )
     return _on_vertices(df, key, time, per_time, "degree", "triangles", "clustering")
 
@@ -196,8 +217,8 @@ def cell_graph_summary(df: DataFrame, cell: list[str]) -> DataFrame:
     n = F.col("n")
     sums = df.groupBy(*cell).agg(F.count("*").alias("n")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("vertices"),
-        F.coalesce(F.sum(_pairs(n)), F.lit(0.0)).cast("long").alias("edges"),
-        F.coalesce(F.sum(_triples(n)), F.lit(0.0)).cast("long").alias("triangles"),
+        F.coalesce(F.sum(_pairs(n)), F.lit(0)).cast(_WHOLE).alias("edges"),
+        F.coalesce(F.sum(_triples(n)), F.lit(0)).cast(_WHOLE).alias("triangles"),
         F.coalesce(F.sum(F.when(n >= 3, n)), F.lit(0)).alias("clustered"),
     )
     return sums.select(
@@ -209,4 +230,4 @@ def cell_graph_summary(df: DataFrame, cell: list[str]) -> DataFrame:
 
 def density(vertices: Column, edges: Column) -> Column:
     """Edges over possible edges of an undirected simple graph."""
-    return ratio(edges, _pairs(vertices))
+    return ratio(edges.cast("double"), _pairs(vertices).cast("double"))

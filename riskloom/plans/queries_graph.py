@@ -63,6 +63,11 @@ _PURCHASES = (
 
 # --- edges that follow from the values ---
 
+def _long(df, *counts):
+    """Exact decimal counts as long, which the given tables stay within."""
+    return df.withColumns({c: F.col(c).cast("long") for c in counts})
+
+
 @query(
     "similarity_edges",
     f"WITH {o.FRAUD_TIMES} SELECT f.event_id, count(*) FILTER (WHERE g.tick < f.tick) AS \"left\", "
@@ -104,7 +109,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     cells = kpis.fraud_cells(transactions(spark, sf, ["V14"]))
-    return proximity.cell_graph_summary(cells, ["v14_bucket", "amount_bucket"])
+    return _long(proximity.cell_graph_summary(cells, ["v14_bucket", "amount_bucket"]), "edges", "triangles")
 
 
 @query(
@@ -124,7 +129,7 @@ def _(spark, sf):
     f" SELECT vertices, edges, t.n AS triangles, {o.rnd(o.div('edges', 'vertices * (vertices - 1) / 2e0'), 6)} AS density FROM k, t",
 )
 def _(spark, sf):
-    return proximity.time_graph_summary(frauds(spark, sf), KEY, TIME)
+    return _long(proximity.time_graph_summary(frauds(spark, sf), KEY, TIME), "edges", "triangles")
 
 
 _TIME_TRIANGLES = (
@@ -142,7 +147,7 @@ _COEFFICIENT = o.div("2 * triangles", "degree * (degree - 1)")
 )
 def _(spark, sf):
     table = proximity.time_clustering(frauds(spark, sf), KEY, TIME)
-    return table.withColumn("clustering", F.round("clustering", 6))
+    return _long(table, "triangles").withColumn("clustering", F.round("clustering", 6))
 
 
 @query("average_clustering", f"{_TIME_TRIANGLES} SELECT {o.rnd(f'avg({_COEFFICIENT})', 6)} AS avg_clustering FROM v")

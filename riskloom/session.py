@@ -57,12 +57,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize `df` in the reliable checkpoint folder, so lost executors do not replay its history."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a table that is read in fewer pieces than there are cores.
-
-    A table of many files is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import AMOUNT, COMPONENTS, LABEL, TIME
-from ..session import spread_small, work_dir
+from ..session import work_dir
 from .tables import read_table, write_parquet
 
 # Moduli and factors of the mapping.
@@ -68,7 +68,7 @@ def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     size = embeddings.agg(F.count("*")).scalar()
     joined = (
-        spread_small(_events(spark, sf_dir), "event_id")
+        _events(spark, sf_dir)
         .withColumn("vec_id", F.col("event_id") % size)
         .join(embeddings, "vec_id", "left")
     )

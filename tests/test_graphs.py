@@ -2,8 +2,9 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
-from riskloom.operators import graph, ordered, proximity
+from riskloom.operators import graph, proximity
 
 
 def brute_force(times: dict[int, float], seconds: float):
@@ -46,15 +47,10 @@ def points(request):
     return {i: float(rng.randrange(0, 400, 20)) for i in range(60)}  # gaps exactly as wide as the window
 
 
-@pytest.fixture(params=[0, 10_000])
-def both_paths(request, monkeypatch):
-    monkeypatch.setattr(ordered, "SMALL_TABLE_ROWS", request.param)
-
-
 WIDTH = 20.0
 
 
-def test_time_graph_equals_all_pairs(spark, points, both_paths):
+def test_time_graph_equals_all_pairs(spark, points):
     df = spark.createDataFrame(list(points.items()), "id long, t double")
     near = brute_force(points, WIDTH)
     rows = {r.id: r for r in proximity.time_clustering(df, "id", "t", WIDTH).collect()}
@@ -70,7 +66,7 @@ def test_time_graph_equals_all_pairs(spark, points, both_paths):
     assert total.triangles == sum(triangles_at(near, v) for v in near) / 3
 
 
-def test_time_components_equal_search(spark, points, both_paths):
+def test_time_components_equal_search(spark, points):
     df = spark.createDataFrame(list(points.items()), "id long, t double")
     expected = components(brute_force(points, WIDTH))
     got = {r.id: r.component for r in proximity.time_components(df, "id", "t", WIDTH).collect()}
@@ -79,7 +75,7 @@ def test_time_components_equal_search(spark, points, both_paths):
         assert got[v] == min(expected[v], key=lambda u: (round(points[u] * 1e6), u))
 
 
-def test_consecutive_links_keep_components(spark, points, both_paths):
+def test_consecutive_links_keep_components(spark, points):
     df = spark.createDataFrame(list(points.items()), "id long, t double")
     links = proximity.consecutive_links(df, "id", "t", WIDTH).collect()
     assert len(links) <= len(points)
@@ -164,3 +160,10 @@ def test_cells_are_cliques(spark):
     assert (total.vertices, total.edges, total.triangles) == (8, 3 + 3 + 1, 2)
     assert total.avg_clustering == pytest.approx(6 / 8)
     assert {(r.src, r.dst, r.degree) for r in proximity.cell_links(df, "id", ["cell"]).collect()} >= {(0, 0, 2), (7, 6, 1)}
+
+
+def test_counts_beyond_long_are_exact(spark):
+    n = 4_000_003
+    burst = spark.range(n).select("id", F.lit(7.0).alias("t"))
+    row = proximity.time_graph_summary(burst, "id", "t", WIDTH).first()
+    assert (row.edges, row.triangles) == (n * (n - 1) // 2, n * (n - 1) * (n - 2) // 6)

@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import ordered, sampling
 
-PATHS = [0, 10_000]  # ranges and the single window for small tables
-
 
 @pytest.fixture(scope="module")
 def skewed(spark):
@@ -17,11 +15,10 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id long, v int, g int, w int").repartition(5).cache()
 
 
-@pytest.mark.parametrize("small", PATHS)
 @pytest.mark.parametrize("before", [False, True])
-def test_running_sums_and_maxima(skewed, small, before):
+def test_running_sums_and_maxima(skewed, before):
     got = ordered.running(
-        skewed, ["v", "id"], {"total": F.col("w")}, {"last": F.struct("v", "id")}, before=before, small_rows=small
+        skewed, ["v", "id"], {"total": F.col("w")}, {"last": F.struct("v", "id")}, before=before
     ).collect()
     rows = sorted(((r.v, r.id, r.w) for r in skewed.collect()))
     total, last, expected = 0, None, {}
@@ -35,16 +32,12 @@ def test_running_sums_and_maxima(skewed, small, before):
     assert {r.id: (r.total, tuple(r.last) if r.last else None) for r in got} == expected
 
 
-@pytest.mark.parametrize("small", PATHS)
-def test_row_numbers_are_a_permutation(skewed, small, monkeypatch):
-    monkeypatch.setattr(ordered, "SMALL_TABLE_ROWS", small)
+def test_row_numbers_are_a_permutation(skewed):
     numbers = [r.n for r in ordered.number_rows(skewed, [F.desc("v"), "id"], "n").orderBy(F.desc("v"), "id").collect()]
     assert numbers == list(range(1, 901))
 
 
-@pytest.mark.parametrize("small", PATHS)
-def test_quantiles_equal_numpy(skewed, small, monkeypatch):
-    monkeypatch.setattr(ordered, "SMALL_TABLE_ROWS", small)
+def test_quantiles_equal_numpy(skewed):
     probs = {"q0": 0.0, "q25": 0.25, "median": 0.5, "q999": 0.999, "q1": 1.0}
     by_group = {r.g: r for r in ordered.exact_quantiles(skewed, "v", probs, ["g"]).collect()}
     values = {}
