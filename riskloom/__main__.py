@@ -36,13 +36,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--timeout", type=float, help="seconds after which the stream job stops")
     parser.add_argument("--rows-per-batch", type=int, default=50)
     parser.add_argument("--rel-err", type=float, default=0.0, help="error allowed for the outlier threshold")
-    parser.add_argument("--epsilon", type=float, help="privacy budget of the federated job")
+    parser.add_argument("--epsilon", type=float, help="privacy budget of all rounds of the federated job")
+    parser.add_argument("--noise-seed", help="secret seed of the federated job's noise; needed with --epsilon")
+    parser.add_argument("--interval", help='keep the stream running with a batch every so often, as "10 seconds"')
     args = parser.parse_args(argv)
     spark = get_session(f"riskloom-{args.job}", args.master)
 
     if args.job == "stream":
         checkpoint = args.checkpoint or work_dir(spark, "stream-checkpoint")
-        jobs.streaming_job(spark, args.input, args.output, checkpoint, args.timeout)
+        jobs.streaming_job(spark, args.input, args.output, checkpoint, args.timeout, args.interval)
         return
     df = read_transactions(spark, args.input, args.format)
     if args.job == "kpi":
@@ -52,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "graph":
         jobs.graph_job(df, args.output, KEY)
     elif args.job == "federated":
-        jobs.federated_job(df, args.output, KEY, args.epsilon).show()
+        jobs.federated_job(df, args.output, KEY, args.epsilon, args.noise_seed).show()
     elif args.job == "replay":
         sources.write_replay(df, args.output, [KEY], args.rows_per_batch)
     else:

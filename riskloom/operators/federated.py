@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ratio, uniform_hash
-from ..functions.scalars import SEED
 from ..schema import FEATURES, LABEL
 from ..session import cut_lineage
 from .evaluation import confusion_counts, exact_areas
@@ -48,18 +47,22 @@ def scale_by_party(
     party: str = "bank",
     keys: list[str] | None = None,
     train: float = 0.8,
-    parties: tuple[str, ...] = PARTIES,
 ) -> DataFrame:
-    """Mark each row `is_train` and scale its features by its own party's training rows."""
+    """Mark each row `is_train` and scale its features by its own party's training rows.
+
+    All rows stay. A feature without spread becomes 0; one that is null, or of a party without
+    training rows, stays null.
+    """
     marked = df.withColumn("is_train", split_side(keys or ["event_id"], train))
     stats = party_statistics(marked.filter("is_train"), features, party)
-    # one row per party, and the parties are listed by name: the size is known
-    few = F.broadcast(stats.filter(F.col(party).isin(list(parties))))
-    scaled = {
-        c: F.coalesce(F.try_divide(F.col(c) - F.col(f"_{c}.mean"), F.col(f"_{c}.std")), F.lit(0.0))
-        for c in features
-    }
-    return marked.join(few, party).select(
+    # one row per party; joined by whatever its size allows
+    per_party = stats.withColumnRenamed(party, "_party")
+    scaled = {}
+    for c in features:
+        away = F.col(c) - F.col(f"_{c}.mean")
+        flat = F.coalesce(F.col(f"_{c}.std"), F.lit(0.0)) == 0
+        scaled[c] = F.when(flat, away * 0.0).otherwise(F.try_divide(away, F.col(f"_{c}.std")))
+    return marked.join(per_party, F.col(party).eqNullSafe(F.col("_party")), "left").select(
         *[scaled[c].alias(c) if c in scaled else F.col(c) for c in marked.columns]
     )
 
@@ -172,28 +175,33 @@ def weighted_metric(metrics: DataFrame, value: str = "auc", by: list[str] | None
 
 
 def clip_update(models: DataFrame, limit: float = 1.0) -> DataFrame:
-    """Scale a party's weights down to at most `limit` in length."""
-    length = F.sqrt(F.aggregate("weights", F.lit(0.0), lambda s, w: s + w * w))
-    factor = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.lit(float(limit)), length), F.lit(1.0)))
-    return models.withColumn("weights", F.transform("weights", lambda w: w * factor))
+    """Scale a party's weights and intercept down to at most `limit` in the sum of their sizes."""
+    size = F.aggregate("weights", F.abs("intercept"), lambda total, w: total + F.abs(w))
+    factor = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.lit(float(limit)), size), F.lit(1.0)))
+    return models.withColumn("_factor", factor).withColumns(
+        {"weights": F.transform("weights", lambda w: w * F.col("_factor")), "intercept": F.col("intercept") * F.col("_factor")}
+    ).drop("_factor")
 
 
-def add_noise(
-    models: DataFrame, epsilon: float = 1.0, limit: float = 1.0, party: str = "bank", salt: str = f"{SEED}:noise"
-) -> DataFrame:
-    """Clip each party's weights and add Laplace noise of scale limit / epsilon.
+def add_noise(models: DataFrame, epsilon: float, seed: str, limit: float = 1.0, party: str = "bank") -> DataFrame:
+    """Clip each party's update and add Laplace noise of scale 2 * limit / epsilon to all of it.
 
-    The noise is drawn from a hash of party and position, so a retried task repeats it.
+    Two updates within the clip differ by 2 * limit at most in the sum of sizes, so one report
+    costs `epsilon`. The noise is drawn from a hash of seed, party and position, so a retried task
+    repeats it; whoever knows the seed can take the noise off, so it must stay secret and be used
+    for one report only.
     """
     clipped = clip_update(models, limit)
-    scale = float(limit) / float(epsilon)
+    scale = 2 * float(limit) / float(epsilon)
 
     def noisy(w: Column, i: Column) -> Column:
         # kept off the ends, where the logarithm has no value
-        u = (uniform_hash(F.col(party), i, salt=salt) * (1 - 2e-9)) + 1e-9 - 0.5
+        u = (uniform_hash(F.col(party), i, salt=seed) * (1 - 2e-9)) + 1e-9 - 0.5
         return w - F.lit(scale) * F.signum(u) * F.log(1 - 2 * F.abs(u))
 
-    return clipped.withColumn("weights", F.transform("weights", noisy))
+    return clipped.withColumns(
+        {"weights": F.transform("weights", noisy), "intercept": noisy(F.col("intercept"), F.size("weights"))}
+    )
 
 
 def margin(features: list[str], weights: Column, intercept: Column) -> Column:
@@ -259,13 +267,21 @@ def train_federated(
     steps: int = 2,
     epsilon: float | None = None,
     clip: float = 1.0,
+    noise_seed: str | None = None,
 ) -> FederatedRun:
     """Rounds of local training and averaging; each round starts from the averaged model.
 
     `scaled` comes from `scale_by_party`. With `epsilon` the change each party reports is
-    clipped and noised before averaging.
+    clipped and noised before averaging; `epsilon` covers all rounds together, and `noise_seed`
+    must be given and kept secret. Rows of a party that is not listed are an error.
     """
+    if epsilon is not None and noise_seed is None:
+        raise ValueError("noise needs a secret noise_seed")
     spark = scaled.sparkSession
+    listed = F.coalesce(F.col(party).isin(list(parties)), F.lit(False))
+    others = [r[0] for r in scaled.filter(~listed).select(party).distinct().limit(5).collect()]
+    if others:
+        raise ValueError(f"rows of parties that are not listed: {others}")
     rows = cached(scaled.filter("is_train").select(party, label, *features))
     run = FederatedRun(features)
     shared = np.zeros(len(features) + 1)
@@ -277,13 +293,13 @@ def train_federated(
             reported = [(number, p, n, models[p][:-1].tolist(), float(models[p][-1])) for p, n in sorted(samples.items())]
             run.local += reported
             changes = spark.createDataFrame(
-                [(r, p, n, (np.array(w) - shared[:-1]).tolist(), b) for r, p, n, w, b in reported],
+                [(r, p, n, (np.array(w) - shared[:-1]).tolist(), b - float(shared[-1])) for r, p, n, w, b in reported],
                 WEIGHTS_SCHEMA,
             ).withColumnRenamed("bank", party)
             if epsilon is not None:
-                changes = add_noise(changes, epsilon, clip, party, salt=f"{SEED}:noise:{number}")
+                changes = add_noise(changes, epsilon / rounds, f"{noise_seed}:{number}", clip, party)
             merged = fedavg(changes).first()
-            shared = np.append(shared[:-1] + np.array(merged["weights"]), merged["intercept"])
+            shared = shared + np.append(merged["weights"], merged["intercept"])
             run.merged.append((number, "global", int(merged["samples"]), shared[:-1].tolist(), float(shared[-1])))
     finally:
         rows.unpersist()

@@ -72,9 +72,10 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def export_predictions(scored: DataFrame, order: list[str], n: int = 10_000) -> DataFrame:
-    """The report of scored transactions: its first n rows in a stated order."""
-    return first_rows(scored, order, n).select(TIME, AMOUNT, LABEL, "prediction", "fraud_probability")
+def export_predictions(scored: DataFrame, order: list[str], n: int | None = None) -> DataFrame:
+    """The report of scored transactions; with `n`, its first rows in a stated order."""
+    rows = scored if n is None else first_rows(scored, order, n)
+    return rows.select(TIME, AMOUNT, LABEL, "prediction", "fraud_probability")
 
 
 def _importance_table(spark: SparkSession, features: list[str], values) -> DataFrame:

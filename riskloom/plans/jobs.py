@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,13 +42,14 @@ def kpi_job(df: DataFrame, out: str, rel_err: float = 0.0) -> str:
 
 
 def ml_job(df: DataFrame, out: str, keys: list[str], ratio: float = 2.0, run_id: str = "run") -> DataFrame:
-    """Balance, split, train and compare the classifiers; returns their comparison."""
+    """Split, balance the training side, train and compare the classifiers on all held-out rows."""
     spark = df.sparkSession
-    balanced = cut_lineage(sampling.undersample(cleaning.drop_nulls(df, [*FEATURES, LABEL]), keys, ratio))
-    training, test = sampling.train_test_split(balanced, keys)
+    training, test = sampling.train_test_split(cleaning.drop_nulls(df, [*FEATURES, LABEL]), keys)
+    training, test = cut_lineage(sampling.undersample(training, keys, ratio)), cut_lineage(test)
     classifiers = {
         "RandomForest": (models.random_forest(), models.tree_importance),
         "LogisticRegression": (models.logistic_regression(), models.linear_importance),
+        "GradientBoosted": (models.gradient_boosted(), models.tree_importance),
     }
     results = []
     for name, (classifier, importance) in classifiers.items():
@@ -67,14 +70,31 @@ def ml_job(df: DataFrame, out: str, keys: list[str], ratio: float = 2.0, run_id:
         metrics = evaluation.long_metrics(quality)
         models.log_run(metrics, f"{out}/runs", f"{run_id}-{name}", {p.name: v for p, v in classifier.extractParamMap().items()})
         results.append(metrics)
-    return evaluation.compare_models(results[0].unionByName(results[1]), list(classifiers))
+    return evaluation.compare_models(reduce(DataFrame.unionByName, results), list(classifiers))
+
+
+def score_job(df: DataFrame, model_path: str, out: str) -> str:
+    """Score a batch with a saved model."""
+    return write_parquet(scoring.apply_model(df, models.load_model(model_path)), f"{out}/scored")
+
+
+def model_stream_job(
+    spark: SparkSession, source: str, model_path: str, out: str, checkpoint: str, interval: str | None = None, timeout: float | None = None
+) -> bool:
+    """Score the batches of a watched folder with a saved model.
+
+    Without `interval` all present input is processed; with it (as "10 seconds") the stream goes on
+    until `timeout` seconds have passed, or for ever.
+    """
+    stream = sources.csv_stream(spark, source, feed_schema(csv_columns(spark, source)))
+    scored = scoring.apply_model(stream, models.load_model(model_path))
+    return sinks.run_to_end(sinks.to_parquet(scored, f"{out}/scored", checkpoint, interval is None, interval), timeout)
 
 
 def fit_forest(df: DataFrame, keys: list[str], ratio: float = 2.0) -> tuple[PipelineModel, DataFrame]:
-    """A random forest fitted on the balanced training side, and the test side."""
-    balanced = cut_lineage(sampling.undersample(df, keys, ratio))
-    training, test = sampling.train_test_split(balanced, keys)
-    return models.train(training, models.random_forest()), test
+    """A random forest fitted on the balanced training side, and all held-out rows."""
+    training, test = sampling.train_test_split(df, keys)
+    return models.train(cut_lineage(sampling.undersample(training, keys, ratio)), models.random_forest()), test
 
 
 def graph_job(df: DataFrame, out: str, key: str) -> str:
@@ -91,20 +111,27 @@ def graph_job(df: DataFrame, out: str, key: str) -> str:
     return write_json(document, f"{out}/graph_metrics")
 
 
-def federated_job(df: DataFrame, out: str, key: str, epsilon: float | None = None) -> DataFrame:
+def federated_job(
+    df: DataFrame, out: str, key: str, epsilon: float | None = None, noise_seed: str | None = None
+) -> DataFrame:
     """Train over the parties and write the history of rounds."""
     parties = federated.assign_party(df, key)
     scaled = cut_lineage(federated.scale_by_party(parties, keys=[key]))
-    history = cut_lineage(federated.round_history(federated.train_federated(scaled, epsilon=epsilon), scaled))
+    history = cut_lineage(federated.round_history(federated.train_federated(scaled, epsilon=epsilon, noise_seed=noise_seed), scaled))
     write_json(history, f"{out}/federated_history")
     return history
 
 
-def streaming_job(spark: SparkSession, source: str, out: str, checkpoint: str, timeout: float | None = None) -> bool:
-    """Score the batches of a watched folder; True when all present input was processed."""
+def streaming_job(
+    spark: SparkSession, source: str, out: str, checkpoint: str, timeout: float | None = None, interval: str | None = None
+) -> bool:
+    """Score the batches of a watched folder; True when all present input was processed.
+
+    With `interval` (as "10 seconds") it keeps watching, until `timeout` seconds have passed or for ever.
+    """
     schema = feed_schema(csv_columns(spark, source))
     scored = scoring.apply_rules(sources.csv_stream(spark, source, schema))
-    return sinks.run_to_end(sinks.fan_out(scored, out, checkpoint), timeout)
+    return sinks.run_to_end(sinks.fan_out(scored, out, checkpoint, interval is None, interval), timeout)
 
 
 def dashboard_job(df: DataFrame, quality: DataFrame, importance: DataFrame, predictions: DataFrame, out: str) -> str:

@@ -21,11 +21,9 @@ KEYS = ["event_id"]
 
 @cache
 def _samples(application: str, spark, sf):
-    """Balanced training and test rows, drawn once per application and stored."""
-    return tuple(
-        cut_lineage(side)
-        for side in sampling.train_test_split(sampling.undersample(transactions(spark, sf), KEYS, 2.0), KEYS)
-    )
+    """Balanced training rows and all held-out rows, drawn once per application and stored."""
+    training, test = sampling.train_test_split(transactions(spark, sf), KEYS)
+    return cut_lineage(sampling.undersample(training, KEYS, 2.0)), cut_lineage(test)
 
 
 @cache
@@ -327,13 +325,18 @@ def _(spark, sf):
     return merged.select("samples", *_weight_columns(merged), F.round("intercept", 6).alias("intercept"))
 
 
+NOISE_SEED = "fixed here so that SQL can draw the same"
+
+
 def _noise_sql(i):
-    u = f"({o.uniform(f'''bank || ':{i}' ''', '42:noise')} * (1 - 2e-9) + 1e-9 - 5e-1)"
-    length = "sqrt(" + " + ".join(f"w{j} * w{j}" for j in range(len(_CENTROID))) + ")"
-    return f"{o.rnd(f'w{i} * least(1e0, 1e0 / {length}) - sign({u}) * ln(1 - 2 * abs({u}))', 6)} AS w{i}"
+    """Weight i, or the intercept behind the weights, clipped and noised."""
+    value, name = (f"w{i}", f"w{i}") if i < len(_CENTROID) else ("intercept", "intercept")
+    u = f"({o.uniform(f'''bank || ':{i}' ''', NOISE_SEED)} * (1 - 2e-9) + 1e-9 - 5e-1)"
+    size = " + ".join([f"abs(w{j})" for j in range(len(_CENTROID))] + ["abs(intercept)"])
+    return f"{o.rnd(f'{value} * least(1e0, 1e0 / ({size})) - 2e0 * sign({u}) * ln(1 - 2 * abs({u}))', 6)} AS {name}"
 
 
-@query("dp_noise", f"WITH {_LOCAL_MODELS} SELECT bank, samples, {', '.join(_noise_sql(i) for i in range(len(_CENTROID)))} FROM local")
+@query("dp_noise", f"WITH {_LOCAL_MODELS} SELECT bank, samples, {', '.join(_noise_sql(i) for i in range(len(_CENTROID) + 1))} FROM local")
 def _(spark, sf):
-    noisy = federated.add_noise(centroid_models(spark, sf), epsilon=1.0, limit=1.0)
-    return noisy.select("bank", "samples", *_weight_columns(noisy))
+    noisy = federated.add_noise(centroid_models(spark, sf), epsilon=1.0, seed=NOISE_SEED, limit=1.0)
+    return noisy.select("bank", "samples", *_weight_columns(noisy), F.round("intercept", 6).alias("intercept"))

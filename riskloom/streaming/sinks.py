@@ -13,13 +13,21 @@ from ..operators.sampling import cached
 from .scoring import alerts_only, scored_output
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, until_done: bool) -> StreamingQuery:
+def _start(writer: DataStreamWriter, checkpoint: str, until_done: bool, interval: str | None = None) -> StreamingQuery:
+    """Process what is there and end, or go on: as fast as possible, or a batch every `interval`."""
     writer = writer.option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if until_done else writer).start()
+    if until_done:
+        writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
+    return writer.start()
 
 
-def to_parquet(df: DataFrame, path: str, checkpoint: str, until_done: bool = True) -> StreamingQuery:
-    return _start(df.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint, until_done)
+def to_parquet(
+    df: DataFrame, path: str, checkpoint: str, until_done: bool = True, interval: str | None = None
+) -> StreamingQuery:
+    writer = df.writeStream.outputMode("append").format("parquet").option("path", path)
+    return _start(writer, checkpoint, until_done, interval)
 
 
 def alerts_to_csv(scored: DataFrame, path: str, checkpoint: str, until_done: bool = True) -> StreamingQuery:
@@ -52,11 +60,13 @@ def write_batch_metrics(path: str) -> Callable[[DataFrame, int], None]:
     def handle(batch: DataFrame, batch_id: int) -> None:
         record = _metrics_of(batch, batch_id).filter("total_transactions > 0").coalesce(1)
         record = cached(record)
-        record.write.mode("overwrite").json(f"{path}/json/batch={batch_id}")
-        record.select(
-            "timestamp", "batch_id", "total_transactions", "fraud_detected", "fraud_rate", "avg_amount"
-        ).write.mode("overwrite").option("header", True).csv(f"{path}/series/batch={batch_id}")
-        record.unpersist()
+        try:
+            record.write.mode("overwrite").json(f"{path}/json/batch={batch_id}")
+            record.select(
+                "timestamp", "batch_id", "total_transactions", "fraud_detected", "fraud_rate", "avg_amount"
+            ).write.mode("overwrite").option("header", True).csv(f"{path}/series/batch={batch_id}")
+        finally:
+            record.unpersist()
 
     return handle
 
@@ -75,7 +85,9 @@ def metrics_per_batch(scored: DataFrame, path: str, checkpoint: str, until_done:
     return _start(scored.writeStream.foreachBatch(write_batch_metrics(path)), checkpoint, until_done)
 
 
-def fan_out(scored: DataFrame, path: str, checkpoint: str, until_done: bool = True) -> StreamingQuery:
+def fan_out(
+    scored: DataFrame, path: str, checkpoint: str, until_done: bool = True, interval: str | None = None
+) -> StreamingQuery:
     """Metrics, predictions and alerts of each batch from a single read of the source.
 
     One query serves all three outputs, so they always describe the same rows.
@@ -84,13 +96,36 @@ def fan_out(scored: DataFrame, path: str, checkpoint: str, until_done: bool = Tr
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = cached(batch)
-        metrics(rows, batch_id)
-        output = scored_output(rows)
-        output.write.mode("overwrite").parquet(f"{path}/predictions/batch={batch_id}")
-        alerts_only(output).write.mode("overwrite").option("header", True).csv(f"{path}/alerts/batch={batch_id}")
-        rows.unpersist()
+        try:
+            metrics(rows, batch_id)
+            output = scored_output(rows)
+            output.write.mode("overwrite").parquet(f"{path}/predictions/batch={batch_id}")
+            alerts_only(output).write.mode("overwrite").option("header", True).csv(f"{path}/alerts/batch={batch_id}")
+        finally:
+            rows.unpersist()
 
-    return _start(scored.writeStream.foreachBatch(handle), checkpoint, until_done)
+    return _start(scored.writeStream.foreachBatch(handle), checkpoint, until_done, interval)
+
+
+def updates_to_table(aggregated: DataFrame, path: str, checkpoint: str, until_done: bool = True) -> StreamingQuery:
+    """Every changed row of an aggregate with its batch; `latest` gives the table as it stands.
+
+    Rows come out as they change, not only once the watermark has passed them, so at the end of
+    the input nothing is held back. A repeated batch replaces what it wrote before.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return _start(aggregated.writeStream.outputMode("update").foreachBatch(handle), checkpoint, until_done)
+
+
+def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last state of each row that `updates_to_table` wrote."""
+    table = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    values = [c for c in table.columns if c not in (*keys, "batch")]
+    newest = table.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_row"))
+    return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
 
 
 def run_to_end(query: StreamingQuery, timeout: float | None = None) -> bool:

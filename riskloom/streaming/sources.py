@@ -57,7 +57,8 @@ def write_replay(df: DataFrame, path: str, keys: list[str], rows_per_batch: int)
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType) -> DataFrame:
-    """One of the given tables as a stream of its files."""
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    )
+    """One of the given tables as a stream of its files, be it one file or a folder of many.
+
+    The path is a pattern that only this table matches: a plain path would have to be a folder.
+    """
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")

@@ -15,8 +15,9 @@ def per_window(
 ) -> DataFrame:
     """Transactions per window of event time, with further aggregates by name.
 
-    On a stream rows later than `lateness` are dropped and a window is given out once the
-    watermark has passed it; on a batch the watermark has no effect.
+    On a stream rows later than `lateness` are dropped. In append mode a window is given out once
+    the watermark has passed it; `sinks.updates_to_table` gives it as it grows, and so the last
+    windows too. On a batch the watermark has no effect.
     """
     return (
         df.withWatermark(event_time, lateness)

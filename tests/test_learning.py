@@ -132,12 +132,31 @@ def test_average_counts_samples(spark):
 
 
 def test_noise_is_repeatable_and_clipped(spark):
-    df = spark.createDataFrame([(1, "x", 1, [30.0, 40.0], 0.0)], federated.WEIGHTS_SCHEMA)
-    assert federated.clip_update(df, 1.0).first().weights == pytest.approx([0.6, 0.8])
-    quiet = federated.add_noise(df, epsilon=1e9).first().weights
-    assert quiet == pytest.approx([0.6, 0.8], abs=1e-6)
-    loud = [federated.add_noise(df, epsilon=1.0).first().weights for _ in range(2)]
-    assert loud[0] == loud[1] != quiet
+    df = spark.createDataFrame([(1, "x", 1, [30.0, -40.0], 30.0)], federated.WEIGHTS_SCHEMA)
+    row = federated.clip_update(df, 1.0).first()
+    assert row.weights == pytest.approx([0.3, -0.4]) and row.intercept == pytest.approx(0.3)
+    noised = lambda seed, epsilon=1.0: (lambda r: [*r.weights, r.intercept])(federated.add_noise(df, epsilon, seed).first())
+    assert noised("s", 1e9) == pytest.approx([0.3, -0.4, 0.3], abs=1e-6)
+    assert noised("s") == noised("s")
+    assert all(a != b for a, b in zip(noised("s"), noised("t")))
+    # four times the budget of two rounds is four times less noise
+    quiet, loud = ([x - y for x, y in zip(noised("s", e), [0.3, -0.4, 0.3])] for e in (4.0, 1.0))
+    assert [4 * x for x in quiet] == pytest.approx(loud, abs=1e-6)
+
+
+def test_noise_needs_a_seed_and_parties_must_be_listed(party_rows):
+    scaled = party_rows.withColumn("is_train", F.col("event_id") % 5 != 0)
+    with pytest.raises(ValueError, match="noise_seed"):
+        federated.train_federated(scaled, ["a", "b", "c"], epsilon=1.0)
+    with pytest.raises(ValueError, match="Banque_C"):
+        federated.train_federated(scaled, ["a", "b", "c"], parties=("Banque_A", "Banque_B"))
+
+
+def test_scaling_keeps_all_rows(spark):
+    rows = [(i, "North" if i % 2 else None, float(i), None if i == 4 else 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "event_id long, bank string, a double, b double")
+    scaled = {r.event_id: r for r in federated.scale_by_party(df, ["a", "b"]).collect()}
+    assert len(scaled) == 60 and scaled[4].b is None and scaled[5].b == 0 and scaled[7].a is not None
 
 
 def test_scaling_uses_training_rows_of_the_own_party(party_rows):

@@ -110,7 +110,7 @@ def test_ml_graph_and_dashboard_jobs(spark, sf, tmp_path):
     compared = jobs.ml_job(table, str(tmp_path / "ml"), KEYS).collect()
     assert {r.metric for r in compared} == set(evaluation.MEASURES)
     assert spark.read.json(str(tmp_path / "ml/metrics/RandomForest")).first().model == "RandomForest"
-    assert spark.read.parquet(str(tmp_path / "ml/runs")).select("run_id").distinct().count() == 2
+    assert spark.read.parquet(str(tmp_path / "ml/runs")).select("run_id").distinct().count() == 3
     network = spark.read.json(jobs.graph_job(table, str(tmp_path / "graph"), "event_id")).first()
     assert network.network.vertices == table.filter("Class = 1").count()
     model = models.load_model(str(tmp_path / "ml/models/RandomForest"))
@@ -145,7 +145,7 @@ def test_shuffled_columns_stop_the_stream(spark, tmp_path):
 
 
 def test_federated_job_with_noise(spark, sf, tmp_path):
-    history = jobs.federated_job(transactions(spark, sf), str(tmp_path), "event_id", epsilon=100.0)
+    history = jobs.federated_job(transactions(spark, sf), str(tmp_path), "event_id", epsilon=100.0, noise_seed="s")
     assert history.count() == 15
     assert spark.read.json(str(tmp_path / "federated_history")).count() == 15
 
@@ -155,3 +155,32 @@ def test_batch_metrics_of_nothing(spark):
     scored = scoring.apply_rules(empty)
     row = scored.agg(*kpis.batch_metrics(scored)).first()
     assert (row.total_transactions, row.avg_amount, row.fraud_rate) == (0, 0.0, 0.0)
+
+
+def test_tables_of_several_files_stream_whole(spark, sf, tmp_path):
+    folder = str(tmp_path / "several")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(3).write.parquet(f"{folder}/events.parquet")
+    from riskloom.plans import catalog
+
+    catalog.load()
+    for name in ("tx_per_minute", "fraud_over_time", "latency_metric", "json_event_stream"):
+        several, one = (sorted(map(tuple, catalog.QUERIES[name](spark, where).collect()), key=str) for where in (folder, sf))
+        assert several == one and one
+    minutes = catalog.QUERIES["tx_per_minute"](spark, folder)
+    assert minutes.agg({"transactions": "sum"}).first()[0] == events.count()
+
+
+def test_saved_models_score_batches_and_streams(spark, sf, tmp_path):
+    table = transactions(spark, sf)
+    model, held_out = jobs.fit_forest(table, KEYS)
+    path = models.save_model(model, str(tmp_path / "model"))
+    jobs.score_job(held_out, path, str(tmp_path / "batch"))
+    source = str(tmp_path / "feed")
+    held_out.write.option("header", True).csv(source)
+    assert jobs.model_stream_job(spark, source, path, str(tmp_path / "stream"), str(tmp_path / "check"))
+    # with an interval it goes on until it is stopped
+    assert not jobs.model_stream_job(spark, source, path, str(tmp_path / "live"), str(tmp_path / "check2"), "1 second", 20)
+    want = {r.event_id: r.prediction for r in spark.read.parquet(str(tmp_path / "batch/scored")).collect()}
+    for out in ("stream", "live"):
+        assert {r.event_id: r.prediction for r in spark.read.parquet(str(tmp_path / f"{out}/scored")).collect()} == want
