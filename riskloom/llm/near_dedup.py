@@ -55,8 +55,8 @@ RATE = 20.0
 MISS = 1e-5
 #: How far below the threshold an estimate may lie (over five standard deviations).
 MARGIN = 0.12
-#: Documents of a band compared with each other at a time.
-BLOCK = 256
+#: Documents of a band compared with each other at a time; larger bands meet block by block.
+BLOCK = 1024
 REMEMBERED = 300_000
 
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
