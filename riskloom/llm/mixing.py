@@ -39,6 +39,8 @@ LIMIT = 2
 BUCKET = 256
 MAX_SOURCES = 100_000
 SHARDS = 64
+#: Words of a shard that one task takes; a larger shard is written by several.
+SLICE_WORDS = 20_000_000
 
 _HALF = 1 << 31
 
@@ -122,7 +124,9 @@ def _table(spark, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
-def plan(docs: DataFrame, shards: int = SHARDS, seed: int = 20, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> list[dict]:
+def plan(
+    docs: DataFrame, shards: int = SHARDS, seed: int = 20, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+) -> list[dict]:
     """What rows need to know of each source: see `blocks`."""
     spark = docs.sparkSession
     rows = cut_lineage(_keyed(docs.select(doc_id, text, source), seed, doc_id, text, source).select("_src", "_size", "_draw"))
@@ -207,13 +211,16 @@ def plan(docs: DataFrame, shards: int = SHARDS, seed: int = 20, doc_id: str = "d
     return found
 
 
-def blocks(docs: DataFrame, shards: int = SHARDS, seed: int = 20, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def blocks(
+    docs: DataFrame, shards: int = SHARDS, seed: int = 20, doc_id: str = "doc_id", text: str = "text",
+    source: str = "source", found: list[dict] | None = None,
+) -> DataFrame:
     """`docs` with size, source_size, target and the list `blocks` of (copy, shard, words, place).
 
     A document's first copies are whole; the last may be the part at the edge. `place` orders the
-    blocks of a shard.
+    blocks of a shard. `found` is the result of `plan` when it is known already.
     """
-    found = plan(docs, shards, seed, doc_id, text, source)
+    found = plan(docs, shards, seed, doc_id, text, source) if found is None else found
     schema = (
         "_src string, _words long, _target double, _passes long, _edge long, _part long, "
         "_begins array<struct<copy:long,place:long>>"
@@ -254,13 +261,16 @@ def mixed(docs: DataFrame, shards: int = SHARDS, seed: int = 20) -> DataFrame:
 
     The document at a source's edge is in when at least half of it is due.
     """
-    due = blocks(docs, shards, seed).select(*docs.columns, "size", F.explode("blocks").alias("_block"))
+    found = plan(docs, shards, seed)
+    slices = max(1, -(-round(sum(s["target"] for s in found)) // (shards * SLICE_WORDS)))
+    due = blocks(docs, shards, seed, found=found).select(*docs.columns, "size", F.explode("blocks").alias("_block"))
     whole = due.filter(2 * F.col("_block.words") >= F.col("size"))
     return (
         whole.select(*docs.columns, F.col("_block.shard").alias("shard"), F.col("_block.place").alias("_place"))
-        .repartition(shards, "shard")
+        .withColumn("_slice", F.pmod("_place", F.lit(slices)))
+        .repartition(shards * slices, "shard", "_slice")
         .sortWithinPartitions("shard", "_place")
-        .drop("_place")
+        .drop("_place", "_slice")
     )
 
 
