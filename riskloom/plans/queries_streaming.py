@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.models import load_model, save_model
 from ..session import work_dir
 from ..sources.tables import parse_json_events, read_csv, read_table
-from ..sources.transactions import transactions
+from ..sources.transactions import transaction_stream, transactions
 from ..streaming import scoring, sinks, sources, windows
 from . import oracle as o
 from .catalog import query
@@ -27,14 +27,14 @@ def _per_batch(table) -> int:
 
 
 def replayed(spark, sf):
-    """The transactions as a stream of a few files."""
+    """The transactions as a stream of a few CSV files."""
     table = transactions(spark, sf, SLIM)
     path = sources.write_replay(table, work_dir(spark, "replay"), ["event_id"], _per_batch(table))
     return sources.csv_stream(spark, path, REPLAY_SCHEMA)
 
 
 def scored_stream(spark, sf):
-    return scoring.apply_rules(replayed(spark, sf))
+    return scoring.apply_rules(transaction_stream(spark, sf, SLIM))
 
 
 def _stored(spark, stream):
@@ -87,10 +87,10 @@ def _(spark, sf):
 
 @query("stream_console_sink", f"WITH {o.tx([])} SELECT count(*) AS rows FROM tx")
 def _(spark, sf):
-    running = sinks.to_console(scored_stream(spark, sf).select("event_id", "is_alert"), work_dir(spark, "console"))
-    sinks.run_to_end(running)
-    rows = [(sum(p["numInputRows"] for p in running.recentProgress),)]
-    return spark.createDataFrame(rows, "rows long")
+    path = work_dir(spark, "console")
+    stream = scored_stream(spark, sf).groupBy("is_alert").agg(F.count("*").alias("rows"))
+    sinks.run_to_end(sinks.to_console(stream, f"{path}/checkpoint", f"{path}/shown"))
+    return sinks.latest(spark, f"{path}/shown", ["is_alert"]).agg(F.sum("rows").alias("rows"))
 
 
 @query(
@@ -144,10 +144,8 @@ def _(spark, sf):
 @query("stream_model_scoring", "SELECT event_id, true AS same FROM events")
 def _(spark, sf):
     model = load_model(save_model(trained(spark, sf, "LogisticRegression"), work_dir(spark, "model")))
-    table = transactions(spark, sf)
-    path = sources.write_replay(table, work_dir(spark, "replay"), ["event_id"], _per_batch(table))
-    scored = scoring.apply_model(sources.csv_stream(spark, path), model)
-    return same_scores(_stored(spark, scored), scoring.apply_model(table, model))
+    scored = scoring.apply_model(transaction_stream(spark, sf), model)
+    return same_scores(_stored(spark, scored), scoring.apply_model(transactions(spark, sf), model))
 
 
 # --- event time, over the event table itself ---

@@ -41,16 +41,19 @@ def _component(i: int) -> str:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the transaction columns that need no embedding."""
+    return shaped(read_table(spark, sf_dir, "events"))
+
+
+def shaped(events: DataFrame) -> DataFrame:
+    """Events, a table or a stream, with the transaction columns that need no embedding."""
     seconds = (
         F.unix_micros(F.col("ts").cast("timestamp"))
         - F.unix_micros(F.lit(EPOCH).cast("timestamp"))
     ) / F.lit(1e6)
     fraud = F.col("fraud")
     return (
-        read_table(spark, sf_dir, "events")
         # a step of its own, so that the label is worked out once per row
-        .withColumn("fraud", _is_fraud(F.col("event_id")))
+        events.withColumn("fraud", _is_fraud(F.col("event_id")))
         .select(
             "event_id",
             "user_id",
@@ -67,11 +70,12 @@ def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns, computed from the given tables. Each event has at most one embedding."""
     embeddings = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     size = embeddings.agg(F.count("*")).scalar()
-    joined = (
-        _events(spark, sf_dir)
-        .withColumn("vec_id", F.col("event_id") % size)
-        .join(embeddings, "vec_id", "left")
-    )
+    return with_components(_events(spark, sf_dir), embeddings, size, COMPONENTS)
+
+
+def with_components(rows: DataFrame, embeddings: DataFrame, size: int | Column, components: list[str]) -> DataFrame:
+    """Rows of `shaped` with components from the embeddings, of which there are `size`."""
+    joined = rows.withColumn("vec_id", F.col("event_id") % size).join(embeddings, "vec_id", "left")
     # frauds: three times as spread and lower by two
     return joined.selectExpr(
         "*",
@@ -79,7 +83,21 @@ def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(fraud, -2D, 0D) AS shift",
         "IF(fraud, 3D, 1D) AS spread",
     ).selectExpr(
-        "event_id", "user_id", TIME, *[_component(int(c[1:])) for c in COMPONENTS], AMOUNT, LABEL, MARK
+        "event_id", "user_id", TIME, *[_component(int(c[1:])) for c in components], AMOUNT, LABEL, MARK
+    )
+
+
+def transaction_stream(spark: SparkSession, sf_dir: str, components: list[str] | None = None) -> DataFrame:
+    """The transactions as a stream of the event files, joined to the embeddings as they stand."""
+    from ..streaming.sources import table_stream
+
+    components = COMPONENTS if components is None else components
+    embeddings = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    events = table_stream(spark, sf_dir, "events", read_table(spark, sf_dir, "events").schema)
+    # a stream takes no subquery; the count comes from the files' footers
+    rows = with_components(shaped(events), embeddings, embeddings.count(), components)
+    return rows.select("event_id", "user_id", TIME, *components, AMOUNT, LABEL).withColumn(
+        "processing_time", F.current_timestamp()
     )
 
 

@@ -39,9 +39,18 @@ def alerts_to_table(scored: DataFrame, path: str, checkpoint: str, until_done: b
     return to_parquet(alerts_only(scored), path, checkpoint, until_done)
 
 
-def to_console(df: DataFrame, checkpoint: str, until_done: bool = True) -> StreamingQuery:
-    writer = df.writeStream.outputMode("append").format("console").option("truncate", False)
-    return _start(writer, checkpoint, until_done)
+def to_console(aggregated: DataFrame, checkpoint: str, path: str, until_done: bool = True) -> StreamingQuery:
+    """Print the changed rows of an aggregate per batch, and keep them as `updates_to_table` does.
+
+    Only aggregates are for the console: what is printed passes through the driver.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        print(f"batch {batch_id}")
+        batch.sparkSession.read.parquet(f"{path}/batch={batch_id}").show(truncate=False)
+
+    return _start(aggregated.writeStream.outputMode("update").foreachBatch(handle), checkpoint, until_done)
 
 
 def _metrics_of(batch: DataFrame, batch_id: int) -> DataFrame:
