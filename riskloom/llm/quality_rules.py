@@ -99,18 +99,21 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         F.lit(0),
         lambda total, x: total + x,
     )
-    return df.withColumns(
-        {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.translate(whole, SPACE_CHARS, "")).cast("long"),
-            "n_symbols": _count_of(whole, "#*$%&|<>"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": covered.cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_upper": _count_of(whole, ascii_uppercase),
-            "n_exclaim": _count_of(whole, "!"),
-        }
-    ).drop("_words", "_lines", "_windows", "_sorted", "_starts")
+    measures = {
+        "n_words": F.size("_words"),
+        "word_chars": F.length(F.translate(whole, SPACE_CHARS, "")),
+        "n_symbols": _count_of(whole, "#*$%&|<>"),
+        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_repeat_words": covered,
+        "n_lines": F.size("_lines"),
+        "n_upper": _count_of(whole, ascii_uppercase),
+        "n_exclaim": _count_of(whole, "!"),
+    }
+    # one row of measurements, generated: a filter on them is not copied below this step, where every
+    # mention would evaluate the whole chain again
+    row = F.struct(*[c.cast("long").alias(name) for name, c in measures.items()])
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in MEASURES]
+    return df.select(*kept, F.inline(F.array(row)))
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -128,13 +131,8 @@ def apply_policy(rows: DataFrame, version: str = LATEST) -> DataFrame:
 
 
 def passing(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """`columns` of the rows that the applied policy keeps.
-
-    The mark keeps the optimizer from copying the measurements into the filter, where each would be
-    evaluated once per mention.
-    """
-    marked = rows.withColumn("_mark", F.monotonically_increasing_id())
-    return marked.filter((F.col("_mark") >= 0) & F.col("kept")).select(*columns)
+    """`columns` of the rows that the applied policy keeps."""
+    return rows.filter("kept").select(*columns)
 
 
 def ablations(rows: DataFrame, version: str = LATEST) -> DataFrame:
@@ -155,7 +153,7 @@ def ablations(rows: DataFrame, version: str = LATEST) -> DataFrame:
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns, with the ledger's bits."""
     base = F.col("failed_bits").bitwiseAND(F.lit(mask(BASE_RULES))) != 0
-    return apply_policy(ledger(docs)).select("doc_id", *MEASURES, "failed_bits", base.alias("base_failed"), "kept")
+    return apply_policy(ledger(docs.select("doc_id", "text"))).select("doc_id", *MEASURES, "failed_bits", base.alias("base_failed"), "kept")
 
 
 _RULE_BITS = " + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(RULES.values()))
