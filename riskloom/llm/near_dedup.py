@@ -34,7 +34,6 @@ import hashlib
 import math
 from collections import OrderedDict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -56,7 +55,7 @@ MISS = 1e-5
 #: How far below the threshold an estimate may lie (over five standard deviations).
 MARGIN = 0.12
 #: Documents of a band compared with each other at a time; larger bands meet block by block.
-BLOCK = 1024
+BLOCK = 512
 REMEMBERED = 300_000
 
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,8 +129,8 @@ _GRID = np.linspace(0, 1, 201)
 def estimate(higher: np.ndarray, lower: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Most likely similarity, given how many registers of a are higher and lower than those of b."""
     out = np.empty(len(higher))
-    for at in range(0, len(higher), 4096):
-        s = slice(at, at + 4096)
+    for at in range(0, len(higher), 1024):
+        s = slice(at, at + 1024)
         a, b = n_a[s, None].astype(float), n_b[s, None].astype(float)
         u, v = a / (a + b), b / (a + b)
         top = np.minimum(u / v, v / u)  # no similarity is higher than the ratio of the sizes
@@ -148,13 +147,15 @@ def _chance(x: np.ndarray) -> np.ndarray:
     return np.maximum(-np.log1p(-np.maximum(x, 0) * (BASE - 1) / BASE) / math.log(BASE), 1e-12)
 
 
-def near_pairs(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, floor: float, rows: int, band: int) -> tuple:
-    """Pairs of two blocks of sketches that share no band before `band` and whose estimate reaches `floor`.
+def near_pairs(
+    a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, wanted: np.ndarray, floor: float, rows: int, band: int
+) -> tuple:
+    """Wanted pairs of two blocks of sketches that share no band before `band` and whose estimate reaches `floor`.
 
     Gives the indices, most similar first.
     """
     equal = np.zeros((len(a), len(b)), dtype=np.int16)
-    seen = np.zeros(equal.shape, dtype=bool)
+    wanted = wanted & (np.minimum(n_a[:, None], n_b[None, :]) >= floor * np.maximum(n_a[:, None], n_b[None, :]))
     for first in range(0, REGISTERS, rows):
         whole = np.ones(equal.shape, dtype=bool)
         for r in range(first, min(first + rows, REGISTERS)):
@@ -162,14 +163,13 @@ def near_pairs(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, f
             equal += same
             whole &= same
         if first // rows < band:
-            seen |= whole
-    sizes = np.minimum(n_a[:, None], n_b[None, :]) >= floor * np.maximum(n_a[:, None], n_b[None, :])
-    x, y = np.nonzero((equal >= (floor - 0.05) * REGISTERS) & sizes & ~seen)
-    found = [np.empty(0)]
-    for at in range(0, len(x), 4096):
-        i, j = x[at : at + 4096], y[at : at + 4096]
-        found.append(estimate((a[i] > b[j]).sum(axis=1), (a[i] < b[j]).sum(axis=1), n_a[i], n_b[j]))
-    likely = np.concatenate(found)
+            wanted &= ~whole
+    x, y = np.nonzero(wanted & (equal >= (floor - 0.05) * REGISTERS))
+    likely = np.empty(len(x))
+    for at in range(0, len(x), 1024):
+        s = slice(at, at + 1024)
+        i, j = x[s], y[s]
+        likely[s] = estimate((a[i] > b[j]).sum(axis=1), (a[i] < b[j]).sum(axis=1), n_a[i], n_b[j])
     order = np.argsort(-likely, kind="stable")[: int((likely >= floor).sum())]
     return x[order], y[order]
 
@@ -179,12 +179,13 @@ def links_of(part: pd.DataFrame, floor: float, threshold: int, rows: int) -> pd.
     low, high = part["low"].iloc[0], part["high"].iloc[0]
     a = part[part["block"] == low].reset_index(drop=True)
     b = part[part["block"] == high].reset_index(drop=True) if high != low else a
+    wanted = a["class"].to_numpy()[:, None] != b["class"].to_numpy()[None, :]
+    if high == low:
+        wanted &= np.triu(np.ones(wanted.shape, dtype=bool), 1)
     x, y = near_pairs(
         _registers(a["sketch"]), _registers(b["sketch"]), a["n_shingles"].to_numpy(), b["n_shingles"].to_numpy(),
-        floor, rows, int(part["number"].iloc[0]),
+        wanted, floor, rows, int(part["number"].iloc[0]),
     )
-    if high == low:
-        x, y = x[x < y], y[x < y]
     root = {c: c for c in part["class"]}
 
     def find(c):
@@ -192,24 +193,23 @@ def links_of(part: pd.DataFrame, floor: float, threshold: int, rows: int) -> pd.
             root[c] = c = root[root[c]]
         return c
 
-    @lru_cache(maxsize=2 * BLOCK)
-    def runs(side, i):
-        return frozenset(np.frombuffer((b if side else a)["runs"][i], dtype=np.uint64).tolist())
-
-    a_class, b_class = a["class"].tolist(), b["class"].tolist()
-    found = []
-    for i, j in zip(x.tolist(), y.tolist()):
+    a_class, b_class, found = a["class"], b["class"], []
+    for i, j in zip(x, y):
         one, other = find(a_class[i]), find(b_class[j])
-        if one == other:
-            continue
-        left, right = runs(0, i), runs(1, j)
-        shared = len(left & right)
-        if 100 * shared >= threshold * (len(left) + len(right) - shared):
+        if one != other and reaches(a["runs"][i], b["runs"][j], threshold):
             root[one] = other
             found.append((a["node"][i], b["node"][j]))
     return pd.DataFrame(found, columns=["src", "dst"], dtype="int64")
 
 
+def reaches(a: bytes, b: bytes, threshold: int) -> bool:
+    """Whether two full sets (sorted hashes) are similar to `threshold` percent."""
+    x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    shared = int((y[at] == x).sum())
+    return 100 * shared >= threshold * (len(x) + len(y) - shared)
+
+
 def _registers(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype="<u2").reshape(-1, REGISTERS)
 
@@ -303,11 +303,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (batch.column(batch.schema.get_field_index(c)) for c in ("r_src", "r_dst"))
-            good = []
-            for x, y in zip(left, right):
-                a, b = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(100 * shared >= threshold * (len(a) + len(b) - shared))
+            good = [reaches(x.as_buffer(), y.as_buffer(), threshold) for x, y in zip(left, right)]
             yield batch.select(["src", "dst"]).filter(pa.array(good, pa.bool_()))
 
     return both.select("src", "dst", "r_src", "r_dst").mapInArrow(run, "src long, dst long")

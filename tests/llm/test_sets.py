@@ -176,7 +176,7 @@ def near_documents():
     return rows
 
 
-@pytest.mark.parametrize("threshold,block", [(85, 256), (80, 16)])
+@pytest.mark.parametrize("threshold,block", [(85, 512), (80, 16)])
 def test_classes_against_brute_force(spark, monkeypatch, threshold, block):
     monkeypatch.setattr(near_dedup, "BLOCK", block)
     rows = near_documents()
