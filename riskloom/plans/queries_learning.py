@@ -143,12 +143,8 @@ def _(spark, sf):
     return evaluation.roc_pr_curve(predictions(spark, sf, "RandomForest"), "fraud_probability", digits=4)
 
 
-# rows that undersampling keeps and the split puts on the test side
-_TEST_ROWS = (
-    f"{o.tx([])}, share AS (SELECT least(1, {o.FRAUDS} * 2e0 / {o.NORMALS}) AS f FROM tx), test AS (SELECT * FROM tx "
-    f"WHERE (Class = 1 OR {o.uniform('event_id', sampling.SAMPLE_SALT)} < (SELECT f FROM share)) "
-    f"AND {o.uniform('event_id', sampling.SPLIT_SALT)} >= 0.8)"
-)
+# rows that the split puts on the test side
+_TEST_ROWS = f"{o.tx([])}, test AS (SELECT * FROM tx WHERE {o.uniform('event_id', sampling.SPLIT_SALT)} >= 0.8)"
 
 
 def same_scores(one, other):
