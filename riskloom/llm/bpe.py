@@ -34,7 +34,7 @@ WORDS = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Longest word that is remembered.
 SHORT = 48
 

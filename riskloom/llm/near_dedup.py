@@ -56,7 +56,7 @@ MISS = 1e-5
 MARGIN = 0.12
 #: Documents of a band compared with each other at a time; larger bands meet block by block.
 BLOCK = 512
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
