@@ -3,7 +3,9 @@
 Every run of `GRAM` words of a text is looked up among the runs of all templates. A hit at word p
 of the text and word t of the template votes for the diagonal p - t. Votes are counted per text,
 template and diagonal, neighbouring diagonals (words added or left out) are merged, and a merged
-span is verified: it must hold enough of the template's runs and not be stretched.
+span is verified: it must hold enough of the template's runs and not be stretched. Where a template
+names a version, the first version named from the span's last run on, within `REACH` words, must be
+that version; without one the span is dropped.
 
 Only DataFrame functions are used. The templates are a fixed list, so their table of runs is small
 and broadcast; the runs of the texts are not shuffled, only the few hits are. Word runs are
@@ -16,6 +18,8 @@ apart by their text; equal rows get equal results. Other columns stay.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,6 +71,10 @@ SHIFT = 2
 #: Share of a template's runs that a span must hold, and the most words it may take per template word.
 COVERAGE = 0.6
 STRETCH = 1.5
+#: Words after a span's last run in which its version may follow ("either version 2 of the license").
+REACH = 10
+#: A named version, its words set apart by single spaces; the first number tells the templates apart.
+VERSION = r" (?:(?:version|license|v) |[a-z]*v)([0-9]{1,2}) "
 
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -76,6 +84,7 @@ _GRAMS = [
     for n, (label, words) in enumerate(_TEXTS)
     for t in range(len(words) - GRAM + 1)
 ]
+_VERSIONS = [m[1] if (m := re.search(VERSION, f" {' '.join(words)} ")) else "" for _, words in _TEXTS]
 
 
 def words_of(text: Column) -> Column:
@@ -116,13 +125,22 @@ def base_scan(docs: DataFrame, text: str = "text") -> DataFrame:
     ).drop("_words", *[f"_at{i}" for i in range(len(PHRASES))])
 
 
+def _version(words: str, p: Column) -> Column:
+    """The first version named in the run at p or soon after it, '' if none."""
+    near = F.array_join(F.slice(words, p + 1, GRAM + REACH), " ")
+    return F.regexp_extract(F.concat(F.lit(" "), near, F.lit(" ")), VERSION, 1)
+
+
 def spans(texts: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """Verified spans: key, label, first_word, words, coverage.
 
     Texts with equal keys must be equal; each place counts once.
     """
     spark = texts.sparkSession
-    templates = spark.createDataFrame(_GRAMS, "template int, label string, size int, t int, gram string")
+    templates = spark.createDataFrame(
+        [(*g, _VERSIONS[g[0]]) for g in _GRAMS],
+        "template int, label string, size int, t int, gram string, version string",
+    )
     edges = [sorted({g[4].split()[o] for g in _GRAMS}) for o in (0, GRAM - 1)]
     df = texts.select(*key, words_of(F.col(text)).alias("_words")).filter(F.size("_words") >= GRAM)
     # runs that begin and end as some template's run does
@@ -133,34 +151,43 @@ def spans(texts: DataFrame, key: list[str], text: str = "text") -> DataFrame:
             lambda i: F.get("_words", i).isin(edges[0]) & F.get("_words", i + GRAM - 1).isin(edges[1]),
         ),
     )
+    run = F.transform(
+        "_near",
+        lambda i: F.struct(i.alias("p"), F.concat_ws(" ", *[F.get("_words", i + o) for o in range(GRAM)]).alias("gram")),
+    )
+    known = F.filter(run, lambda g: g["gram"].isin(sorted({g[4] for g in _GRAMS})))
     grams = df.select(
         *key,
         F.explode(
             F.transform(
-                "_near",
-                lambda i: F.struct(i.alias("p"), F.concat_ws(" ", *[F.get("_words", i + o) for o in range(GRAM)]).alias("gram")),
+                known,
+                lambda g: F.struct(g["p"].alias("p"), g["gram"].alias("gram"), _version("_words", g["p"]).alias("named")),
             )
         ).alias("g"),
-    ).select(*key, "g.p", "g.gram")
+    ).select(*key, "g.p", "g.gram", "g.named")
+    span = [*key, "template", "label", "size", "version"]
     hits = grams.join(F.broadcast(templates), "gram").select(
-        *key, "template", "label", "size", "t", "p", (F.col("p") - F.col("t")).alias("diagonal")
+        *span, "t", "p", "named", (F.col("p") - F.col("t")).alias("diagonal")
     )
     voted = (
         hits.distinct()
-        .groupBy(*key, "template", "label", "size", "diagonal")
-        .agg(F.count("*").alias("votes"), F.min("p").alias("first"), F.max("p").alias("last"))
+        .groupBy(*span, "diagonal")
+        .agg(
+            F.count("*").alias("votes"), F.min("p").alias("first"), F.max(F.struct("p", "named")).alias("last")
+        )
     )
     line = Window.partitionBy(*key, "template").orderBy("diagonal")
     apart = (F.col("diagonal") - F.lag("diagonal").over(line) > SHIFT).cast("int")
     merged = (
         voted.withColumn("_apart", F.coalesce(apart, F.lit(0)))
         .withColumn("_island", F.sum("_apart").over(line))
-        .groupBy(*key, "template", "label", "size", "_island")
+        .groupBy(*span, "_island")
         .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
     )
-    taken = F.col("last") - F.col("first") + GRAM
+    taken = F.col("last.p") - F.col("first") + GRAM
     coverage = F.least(F.lit(1.0), F.col("votes") / (F.col("size") - (GRAM - 1)))
-    return merged.select(
+    versioned = (F.col("version") == "") | (F.col("version") == F.col("last.named"))
+    return merged.filter(versioned).select(
         *key, "label", F.col("first").alias("first_word"), taken.alias("words"), coverage.alias("coverage"), "size"
     ).filter((F.col("coverage") >= COVERAGE) & (F.col("words") <= F.col("size") * STRETCH)).drop("size")
 

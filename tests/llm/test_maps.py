@@ -244,3 +244,26 @@ def test_spans_survive_changed_words(spark):
     assert got[1]["labels"] == "mit" and 0.6 <= got[1]["score"] < 1 and got[1]["n_base"] == 0
     assert got[2]["labels"] == "" and got[2]["score"] == 0
     assert (got[3]["base_labels"], got[3]["n_base"], got[3]["first_word"], got[3]["last_word"]) == ("cc-by,reserved", 3, 0, 6)
+
+
+@pytest.mark.parametrize(
+    ("line", "labels"),
+    [
+        ("Licensed under the GNU General Public License, version 2.", "gpl,gpl-2.0"),
+        ("Licensed under the GNU General Public License version 3", "gpl,gpl-3.0"),
+        ("under the terms of the GNU General Public License v2.0", "gpl,gpl-2.0"),
+        (
+            "under the terms of the GNU General Public License as published by the Free Software Foundation; "
+            "either version 3 of the License, or (at your option) any later version",
+            "gpl,gpl-3.0",
+        ),
+        ("Licensed under the GNU General Public License.", "gpl"),
+        ("Licensed under the Apache License, Version 2.0", "apache-2.0"),
+        ("Licensed under the Apache License, Version 1.1", ""),
+        ("subject to the terms of the Mozilla Public License, v. 2.0", "mpl-2.0"),
+        ("subject to the terms of the Mozilla Public License, v. 1.1", ""),
+    ],
+)
+def test_versions_are_told_apart(spark, line, labels):
+    docs = spark.createDataFrame([(1, f"Some text. {line} More text.")], "doc_id long, text string")
+    assert license_scan.digest(docs).first()["labels"] == labels
