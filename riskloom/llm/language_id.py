@@ -6,8 +6,8 @@ words of a text with a fixed penalty for each change of language. A text's langu
 holds most of its letters.
 
 Fitting counts letter runs in hashed tables of fixed size, so what reaches the driver is bounded by
-languages x `BUCKETS`; it reads about `rows` labelled texts (chosen by a hash of the id; a
-parameter). Prediction covers every whole text, in one pass without a shuffle.
+languages x `BUCKETS`; it reads about `rows` labelled texts per language (chosen by a hash of the id;
+a parameter), and all of a language that has fewer. Prediction covers every whole text, in one pass without a shuffle.
 
 Defined results: a null text and one without letters are `und` with score 0, as is every text when
 nothing could be learned. Words in scripts never seen say nothing; a text of such words alone gets
@@ -123,10 +123,12 @@ def fit(docs: DataFrame, rows: int = 5_000, text: str = "text", lang: str = "lan
     """Learn from the rows with a language."""
     known = docs.filter(F.col(lang).isNotNull())
     counts = {r[lang]: r["count"] for r in known.groupBy(lang).count().collect()}
-    total = sum(counts.values())
     languages = sorted(counts, key=lambda x: (-counts[x], x))
-    if not total:
+    if not languages:
         return Model([], np.zeros((BUCKETS, 0), dtype=np.float32), {})
+    shares = docs.sparkSession.createDataFrame(
+        [(name, min(1.0, rows / n)) for name, n in counts.items()], "_lang string, _share double"
+    )
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,7 +153,8 @@ def fit(docs: DataFrame, rows: int = 5_000, text: str = "text", lang: str = "lan
             yield pd.DataFrame({"lang": name, "script": list(scripts[name]), "bucket": -1, "n": list(scripts[name].values())})
 
     counted = (
-        known.filter(draw < rows / total)
+        known.join(F.broadcast(shares), F.col(lang) == F.col("_lang"))
+        .filter(draw < F.col("_share"))
         .select(F.col(lang).alias("lang"), F.col(text).alias("text"))
         .mapInPandas(count, "lang string, script string, bucket int, n long")
         .groupBy("lang", "script", "bucket")

@@ -122,6 +122,16 @@ def test_languages_on_held_out_rows(spark, sf):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_rare_language_is_learned(spark):
+    common = [(i, "the thing that was on the other with this and for", "en") for i in range(3000)]
+    rare = [(9000 + i, "και το πράγμα ήταν με την άλλη για αυτό", "el") for i in range(2)]
+    docs = spark.createDataFrame(common + rare, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, rows=20)
+    asked = spark.createDataFrame([(1, "ήταν αυτό το άλλη πράγμα"), (2, "this was the other thing")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(asked, model).collect()}
+    assert got == {1: ("el", 1.0), 2: ("en", 1.0)}
+
+
 def test_spans_of_mixed_text(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = language_id.fit(docs)
