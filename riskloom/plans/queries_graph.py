@@ -2,7 +2,7 @@
 
 Two kinds of graph: frauds near in time or in one grid cell, whose edges follow from the
 values and are never listed; and explicit edge tables, from accounts that act one after the
-other, and from the parties of returned order lines.
+other, and from the parties of order lines.
 """
 
 from __future__ import annotations
@@ -39,11 +39,11 @@ _LINKS = o.FRAUD_TIMES + (
 
 
 def purchase_edges(spark, sf):
-    """Customer, supplier and part of each returned order line, linked to each other.
+    """Customer, supplier and part of each order line, linked to each other.
 
     Ids of the three kinds are kept apart by their remainder modulo 3.
     """
-    lines = read_table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    lines = read_table(spark, sf, "lineitem")
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     customer, supplier, part = F.col("o_custkey") * 3, F.col("l_suppkey") * 3 + 1, F.col("l_partkey") * 3 + 2
     sides = [(customer, supplier), (supplier, part), (part, customer)]

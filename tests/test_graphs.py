@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import graph, proximity
+from riskloom.plans import catalog, queries_graph  # noqa: F401
 
 
 def brute_force(times: dict[int, float], seconds: float):
@@ -167,3 +168,30 @@ def test_counts_beyond_long_are_exact(spark):
     burst = spark.range(n).select("id", F.lit(7.0).alias("t"))
     row = proximity.time_graph_summary(burst, "id", "t", WIDTH).first()
     assert (row.edges, row.triangles) == (n * (n - 1) // 2, n * (n - 1) * (n - 2) // 6)
+
+
+@pytest.fixture(scope="module")
+def purchases(spark, tmp_path_factory):
+    """Tables of lines with all return flags, and the edges that their parties should have."""
+    path = str(tmp_path_factory.mktemp("purchases"))
+    rng = random.Random(3)
+    orders = [(k, rng.randrange(4)) for k in range(12)]
+    lines = [(k, rng.randrange(4), rng.randrange(3), flag) for k, _ in orders for flag in "NAR"]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_returnflag string").write.parquet(
+        f"{path}/lineitem.parquet"
+    )
+    edges = []
+    for k, part, supplier, _ in lines:
+        c, s, p = dict(orders)[k] * 3, supplier * 3 + 1, part * 3 + 2
+        edges += [(c, s), (s, p), (p, c)]
+    return path, edges
+
+
+def test_purchase_triangles_hold_all_lines(spark, purchases):
+    path, edges = purchases
+    near = adjacency(edges)
+    count = catalog.QUERIES["triangle_count_purchases"](spark, path).first().triangles
+    assert count == sum(triangles_at(near, v) for v in near) / 3
+    got = {r.id: (r.degree, r.triangles) for r in catalog.QUERIES["clustering_coefficient_purchases"](spark, path).collect()}
+    assert got == {v: (len(near[v]), triangles_at(near, v)) for v in near}
