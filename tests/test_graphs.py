@@ -195,3 +195,28 @@ def test_purchase_triangles_hold_all_lines(spark, purchases):
     assert count == sum(triangles_at(near, v) for v in near) / 3
     got = {r.id: (r.degree, r.triangles) for r in catalog.QUERIES["clustering_coefficient_purchases"](spark, path).collect()}
     assert got == {v: (len(near[v]), triangles_at(near, v)) for v in near}
+
+
+def test_density_ranks_and_communities_hold_all_purchases(spark, purchases):
+    path, edges = purchases
+    near = adjacency(edges)
+    n, pairs = len(near), sum(map(len, near.values())) // 2
+    row = catalog.QUERIES["network_density"](spark, path).first()
+    assert (row.vertices, row.edges, row.density) == (n, pairs, round(pairs / (n * (n - 1) / 2), 6))
+
+    both = edges + [(b, a) for a, b in edges]
+    rank, out = {v: 1 / n for v in near}, {v: [b for a, b in both if a == v] for v in near}
+    for _ in range(10):
+        new = {v: 0.15 / n for v in near}
+        for v in near:
+            for b in out[v]:
+                new[b] += 0.85 * rank[v] / len(out[v])
+        rank = new
+    got = {r.id: r["rank"] for r in catalog.QUERIES["pagerank"](spark, path).collect()}
+    assert got == pytest.approx(rank, abs=1e-7)
+
+    label = {v: v for v in near}
+    for _ in range(5):
+        votes = {v: [label[u] for u in near[v]] for v in near}
+        label = {v: min(set(x), key=lambda c: (-x.count(c), c)) for v, x in votes.items()}
+    assert {r.id: r.community for r in catalog.QUERIES["community_detection"](spark, path).collect()} == label
