@@ -13,6 +13,7 @@ from . import (
     near_dedup,
     quality_classifier,
     quality_rules,
+    sentencepiece_codec,
     topk_search,
     warc,
 )
@@ -33,6 +34,9 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": lambda spark, sf_dir: license_scan.digest(read(spark, sf_dir, "documents")),
     "op9_mixing": lambda spark, sf_dir: mixing.digest(read(spark, sf_dir, "documents")),
     "op10_near_dedup": lambda spark, sf_dir: near_dedup.digest(read(spark, sf_dir, "documents")),
+    "op13_sentencepiece": lambda spark, sf_dir: sentencepiece_codec.digest(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    ),
 }
 
 ORACLES: dict[str, str] = {
