@@ -6,6 +6,7 @@ import public_tokenizers
 
 from . import (
     bpe,
+    collocations,
     html_extract,
     language_id,
     license_scan,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": lambda spark, sf_dir: license_scan.digest(read(spark, sf_dir, "documents")),
     "op9_mixing": lambda spark, sf_dir: mixing.digest(read(spark, sf_dir, "documents")),
     "op10_near_dedup": lambda spark, sf_dir: near_dedup.digest(read(spark, sf_dir, "documents")),
+    "op12_phrases": lambda spark, sf_dir: collocations.digest(read(spark, sf_dir, "documents")),
     "op13_sentencepiece": lambda spark, sf_dir: sentencepiece_codec.digest(
         read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     ),
@@ -44,4 +46,5 @@ ORACLES: dict[str, str] = {
     "op4_topk_search": topk_search.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op8_license_scan": license_scan.SQL,
+    "op12_phrases": collocations.SQL,
 }
