@@ -27,14 +27,16 @@ ranked by count, then by phrase in UTF-8 byte order, which is unique within a la
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+import zstandard
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import work_dir
@@ -101,6 +103,16 @@ def with_phrases(table: np.ndarray, phrases: DataFrame) -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=2)
+def _opened(packed: bytes) -> np.ndarray:
+    """The table sent to this worker, opened once."""
+    return np.frombuffer(zstandard.decompress(packed), dtype=np.uint64)
+
+
+def sent(spark: SparkSession, table: np.ndarray) -> Broadcast:
+    return spark.sparkContext.broadcast(zstandard.compress(table.tobytes(), 1))
+
+
 # ---- counting
 
 
@@ -185,13 +197,12 @@ def _rows(lang: str, words: pa.Array, spelled: np.ndarray, hashes: np.ndarray, i
     )
 
 
-def count(texts: DataFrame, now: np.ndarray, before: np.ndarray | None = None) -> DataFrame:
+def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None = None) -> DataFrame:
     """Whole-table counts of the phrases that `tally` counts; texts has lang and text, no nulls."""
-    sc = texts.sparkSession.sparkContext
-    tables = sc.broadcast((now, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before = tables.value
+        now = _opened(now_sent.value)
+        before = _opened(before_sent.value) if before_sent else None
         held: dict[str, list[bytes]] = {}
         size = 0
 
@@ -230,14 +241,19 @@ def closed(texts: DataFrame, table: np.ndarray, support: int) -> DataFrame:
 
     `table` holds the proposal; with an empty one this mines level by level.
     """
-    found, before = [], None
+    spark = texts.sparkSession
+    found, before, now = [], None, sent(spark, table)
     while True:
-        rows = _stored(count(texts, table, before).filter((F.col("words") == 0) | (F.col("n") >= support)), "counts")
+        rows = _stored(count(texts, now, before).filter((F.col("words") == 0) | (F.col("n") >= support)), "counts")
         found.append(rows)
+        if before:
+            before.destroy()
         failures = rows.filter(F.col("words").between(1, LONGEST - 1) & ~F.col("inside"))
         if failures.isEmpty():
+            now.destroy()
             return reduce(DataFrame.unionAll, found)
-        table, before = with_phrases(table, failures), table
+        table = with_phrases(table, failures)
+        before, now = now, sent(spark, table)
 
 
 def frequent(docs: DataFrame, support: int = SUPPORT, text: str = "text", lang: str = "lang", sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
@@ -319,10 +335,8 @@ def digest(docs: DataFrame) -> DataFrame:
 SQL = rf"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang,
   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
-p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
--
-]')) AS piece FROM d),
-w AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS ws FROM p),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
 u AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
 g AS (SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase FROM u, range(1, {LONGEST + 1}) AS z(k)
   WHERE i + k - 1 <= len(ws)),

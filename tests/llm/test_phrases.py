@@ -73,7 +73,7 @@ def test_failures_of_the_border_bring_in_longer_phrases(spark):
     texts = spark.createDataFrame([("en", "a b c d. a b c d, x")] * 3, "lang string, text string")
     proposed = spark.createDataFrame([(int(h),) for h in _hashes("en", ["a", "b"])], "hash long")
     table = co.with_phrases(co.empty_table(), proposed)
-    first = {r["phrase"]: (r["n"], r["inside"]) for r in co.count(texts, table).collect() if r["words"]}
+    first = {r["phrase"]: (r["n"], r["inside"]) for r in co.count(texts, co.sent(spark, table)).collect() if r["words"]}
     assert first == {"a": (6, True), "b": (6, True), "c": (6, False), "d": (6, False), "x": (3, False), "a b": (6, False)}
     found = {r["phrase"]: r["n"] for r in co.closed(texts, table, 6).collect() if r["words"]}
     assert found == dict.fromkeys(["a", "b", "c", "d", "a b", "b c", "c d", "a b c", "b c d", "a b c d"], 6)
