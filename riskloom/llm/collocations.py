@@ -3,21 +3,24 @@
 A phrase of k words can only be frequent if its first and its last k - 1 words are. So:
 
 1. A sample of the texts is mined level by level at a lowered support; what it finds is proposed.
-2. One pass over all texts counts, exactly, every phrase whose two parts of k - 1 words are both
-   proposed: the proposed phrases and their negative border, as far as it occurs. All single words
-   are counted. A border phrase that turns out frequent is a failure of the sample.
-3. The failures are added to the proposal and a further pass counts the phrases that this brings in
-   and that no pass has counted; until no pass finds a frequent phrase outside the proposal.
-
-Every phrase is counted in exactly one pass, over all texts, so counts do not depend on the sample;
-a poor sample only costs passes, of which there are at most as many as words in the longest phrase.
+2. One pass over all texts counts the proposed phrases and their negative border: the phrases that
+   are not proposed, but all of whose parts are, as far as they occur. A border phrase that turns out
+   frequent is a failure of the sample.
+3. The failures are added to the proposal, and a further pass counts the phrases that this brings in
+   and that no pass has counted; until a pass ends without failures.
+
+Proposed phrases are counted as text. The border is large and nearly all of it is rare, so it is
+counted by 64-bit hashes; a collision can only make a count too large, and as failures are counted
+as text by the next pass, all counts that come out are exact. Every phrase is counted over all texts,
+so counts do not depend on the sample; a poor sample only costs passes, of which there are at most
+one more than words in the longest phrase, but for collisions.
 
 **At scale.** The proposal grows with the corpus, so tasks get it as a bit table of fixed size
-(`BITS` bits, 16 MB): a false hit only has one more phrase counted. Its bits are combined by Spark;
-only the table reaches the driver. Tasks count a few megabytes of text at a time as arrays of word
-numbers and emit one row per distinct phrase, language and stretch, so no frequent word or phrase
-makes a hot key; counts are summed by phrase. Each pass is stored in the shared folder. Products are
-decimals, so no count is too large for them.
+(2 ** `BITS` bits, 16 MB): a false hit only has one more phrase counted. Its bits are combined by
+Spark; only the table reaches the driver. Tasks count a few megabytes of text at a time as arrays of
+word numbers and emit one row per distinct phrase, language and stretch, so no frequent word or
+phrase makes a hot key; the rows are then summed by hash. What each pass finds is stored in the
+shared folder. Products are decimals, so no count is too large for them.
 
 Defined results: a null text has no words, a null language is `und`. Repeated rows count as often
 as they come. An empty table gives an empty result. Other columns are not read. Equal scores are
@@ -50,7 +53,7 @@ SAMPLE_SUPPORT = 2
 BITS = 27
 PROBES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 #: Bytes of text that a task counts at a time; a longer text is counted alone.
-STRETCH = 8 << 20
+STRETCH = 6 << 20
 #: Slots in which each language's best rows are found before they meet.
 SLOTS = (64, 8)
 
@@ -59,7 +62,7 @@ _CLASS = np.zeros(256, dtype=np.uint8)
 _CLASS[list(b" \t")] = 1
 _CLASS[list(PIECE_ENDS)] = 2
 
-ROWS = "lang string, words int, phrase string, hash long, inside boolean, n long"
+ROWS = "hash long, lang string, phrase string, n long"
 
 
 # ---- the table of proposed phrases
@@ -135,70 +138,69 @@ def _words(text: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return table.indices.to_numpy(zero_copy_only=False).astype(np.int64), table.dictionary, on
 
 
-def tally(text: bytes, lang: str, now: np.ndarray, before: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Counts in one stretch: phrases all of whose parts `now` has, unless `before` had them all.
+def tally(text: bytes, lang: str, now: np.ndarray, before: np.ndarray | None, spelled: bool = True) -> Iterator[pa.RecordBatch]:
+    """Counts in one stretch: phrases all of whose parts `now` has, but none that is settled.
 
-    Without `before` all words are counted too, and their number is given as the count of 0 words.
+    Those that `now` has too come with their text (if `spelled`), the others, the border, by hash
+    alone. `before` is the table of the pass before: what it had, was counted; what had all parts in
+    it, was counted or is not frequent. Without `before` the number of words is given, as phrase ''.
     """
     codes, words, on = _words(text)
     if not len(codes):
         return
     seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "replace"))
     of_word = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
-    spelled, size = np.arange(len(words))[:, None], len(words)
-    counts = np.bincount(codes, minlength=size)
-    hashes = of_word
+    size = len(words)
+    makeup, hashes, counts = np.arange(size)[:, None], of_word, np.bincount(codes, minlength=size)
     inside = has(now, hashes)
-    if before is None:
-        yield _rows(lang, words, spelled, hashes, inside, counts)
-        yield _rows(lang, words, np.zeros((1, 0), dtype=np.int64), of_word[:1], np.array([True]), np.array([len(codes)]))
-    # distinct phrases that `before` has with all their parts
-    passed = None if before is None else has(before, of_word)
+    # of distinct phrases: whether `before` had all parts, and the phrase as well
+    tested = np.full(size, before is not None)
+    passed = tested & has(before, hashes) if before is not None else tested
+    if before is None and spelled:
+        yield _rows(of_word[:1], np.array([len(codes)]), lang, pa.array([""], pa.large_string()))
     # the number of the phrase that begins at each place, -1 where it isn't proposed
     at = np.where(inside[codes], codes, -1)
-    for k in range(2, LONGEST + 1):
-        both = (at[:-1] >= 0) & (at[1:] >= 0)
-        # longer phrases overlap, so they share a piece
-        places = np.flatnonzero(both & on[:-1] if k == 2 else both)
-        numbers, kinds = pd.factorize(at[places] * size + codes[places + k - 1])
-        counts = np.bincount(numbers, minlength=len(kinds))
-        first, last = kinds // size, kinds % size
-        spelled = np.column_stack([spelled[first], last])
-        hashes = _joined_hash(hashes[first], of_word[last])
-        # the longest phrases are no part of another
-        inside = has(now, hashes) if k < LONGEST else np.ones(len(kinds), dtype=bool)
-        fresh = np.ones(len(kinds), dtype=bool)
-        if before is not None:
-            some_place = np.zeros(len(kinds), dtype=np.int64)
-            some_place[numbers] = places
-            counted = passed[first] & passed[at[some_place + 1]]
-            fresh, passed = ~counted, counted & has(before, hashes)
-        yield _rows(lang, words, spelled[fresh], hashes[fresh], inside[fresh], counts[fresh])
-        at = np.full(len(codes), -1)
-        at[places] = np.where(inside[numbers], numbers, -1)
-
-
-def _rows(lang: str, words: pa.Array, spelled: np.ndarray, hashes: np.ndarray, inside: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    size, k = spelled.shape
-    if k:
-        phrases = pc.binary_join_element_wise(*[words.take(pa.array(spelled[:, j])) for j in range(k)], pa.scalar(" ", pa.large_string()))
-    else:
-        phrases = pa.array([""] * size, pa.large_string())
+    for k in range(1, LONGEST + 1):
+        if k > 1:
+            both = (at[:-1] >= 0) & (at[1:] >= 0)
+            # longer phrases overlap, so they share a piece
+            places = np.flatnonzero(both & on[:-1] if k == 2 else both)
+            numbers, kinds = pd.factorize(at[places] * size + codes[places + k - 1])
+            counts = np.bincount(numbers, minlength=len(kinds))
+            first, last = kinds // size, kinds % size
+            makeup = np.column_stack([makeup[first], last])
+            hashes = _joined_hash(hashes[first], of_word[last])
+            inside = has(now, hashes)
+            if before is None:
+                tested = passed = np.zeros(len(kinds), dtype=bool)
+            else:
+                some_place = np.zeros(len(kinds), dtype=np.int64)
+                some_place[numbers] = places
+                tested = passed[first] & passed[at[some_place + 1]]
+                passed = tested & has(before, hashes)
+            at = np.full(len(codes), -1)
+            at[places] = np.where(inside[numbers], numbers, -1)
+        if spelled and (known := inside & ~passed).any():
+            parts = [words.take(pa.array(makeup[known, j])) for j in range(k)]
+            yield _rows(hashes[known], counts[known], lang, pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())))
+        border = ~inside & ~tested
+        yield _rows(hashes[border], counts[border])
+
+
+def _rows(hashes: np.ndarray, counts: np.ndarray, lang: str | None = None, phrases: pa.Array | None = None) -> pa.RecordBatch:
+    size = len(hashes)
+    langs = pa.nulls(size, pa.string()) if phrases is None else pa.repeat(pa.scalar(lang, pa.string()), size)
+    spelled = pa.nulls(size, pa.string()) if phrases is None else phrases.cast(pa.string())
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array([lang], pa.string()).take(pa.array(np.zeros(size, dtype=np.int64))),
-            pa.array(np.full(size, k, dtype=np.int32)),
-            phrases.cast(pa.string()),
-            pa.array(hashes.view(np.int64)),
-            pa.array(inside),
-            pa.array(counts.astype(np.int64)),
-        ],
-        names=["lang", "words", "phrase", "hash", "inside", "n"],
+        [pa.array(hashes.view(np.int64)), langs, spelled, pa.array(counts.astype(np.int64))], names=["hash", "lang", "phrase", "n"]
     )
 
 
-def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None = None) -> DataFrame:
-    """Whole-table counts of the phrases that `tally` counts; texts has lang and text, no nulls."""
+def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None = None, spelled: bool = True) -> DataFrame:
+    """Whole-table counts of the phrases that `tally` counts; texts has lang and text, no nulls.
+
+    Stretches hardly share border phrases, so rows are summed after they are dealt out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = _opened(now_sent.value)
@@ -210,7 +212,7 @@ def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None =
             while held:
                 lang, parts = held.popitem()
                 # texts are apart like pieces; lower() of bytes changes A-Z alone
-                yield from tally(b".".join(parts).lower(), lang, now, before)
+                yield from tally(b".".join(parts).lower(), lang, now, before, spelled)
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
@@ -225,8 +227,9 @@ def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None =
     return (
         texts.select("lang", "text")
         .mapInArrow(run, ROWS)
-        .groupBy("lang", "words", "phrase")
-        .agg(F.first("hash").alias("hash"), F.first("inside").alias("inside"), F.sum("n").alias("n"))
+        .repartition("hash")
+        .groupBy("hash", "lang", "phrase")
+        .agg(F.sum("n").alias("n"))
     )
 
 
@@ -236,22 +239,23 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def closed(texts: DataFrame, table: np.ndarray, support: int) -> DataFrame:
-    """Exact counts of all phrases with at least `support`, and of 0 words: all words of a language.
+def closed(texts: DataFrame, table: np.ndarray, support: int, spelled: bool = True) -> tuple[np.ndarray, list[DataFrame]]:
+    """The table of all phrases with at least `support`, and (lang, phrase, n) of them if `spelled`.
 
-    `table` holds the proposal; with an empty one this mines level by level.
+    `table` holds the proposal; with an empty one this mines level by level. Phrase '' has the number
+    of words of a language.
     """
     spark = texts.sparkSession
     found, before, now = [], None, sent(spark, table)
     while True:
-        rows = _stored(count(texts, now, before).filter((F.col("words") == 0) | (F.col("n") >= support)), "counts")
-        found.append(rows)
+        rows = _stored(count(texts, now, before, spelled).filter((F.col("phrase") == "") | (F.col("n") >= support)), "counts")
+        found.append(rows.filter("phrase is not null").select("lang", "phrase", "n"))
         if before:
             before.destroy()
-        failures = rows.filter(F.col("words").between(1, LONGEST - 1) & ~F.col("inside"))
+        failures = rows.filter("phrase is null")
         if failures.isEmpty():
             now.destroy()
-            return reduce(DataFrame.unionAll, found)
+            return table, found
         table = with_phrases(table, failures)
         before, now = now, sent(spark, table)
 
@@ -260,9 +264,12 @@ def frequent(docs: DataFrame, support: int = SUPPORT, text: str = "text", lang:
     """(lang, words, phrase, n) of all phrases with at least `support`; 0 words stand for a language's total."""
     texts = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
     drawn = texts.filter(F.pmod(F.xxhash64("lang", "text", F.monotonically_increasing_id()), F.lit(sample)) == 0)
-    proposal = closed(_stored(drawn, "sample"), empty_table(bits), SAMPLE_SUPPORT)
-    table = with_phrases(empty_table(bits), proposal.filter(F.col("words").between(1, LONGEST - 1)))
-    return closed(texts, table, support).select("lang", "words", "phrase", "n")
+    proposal, _ = closed(_stored(drawn, "sample"), empty_table(bits), SAMPLE_SUPPORT, spelled=False)
+    _, found = closed(texts, proposal, support)
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    # a language's number of words may come in parts, by the words whose hash they were dealt by
+    total = F.sum("n").alias("n")
+    return reduce(DataFrame.unionAll, found).groupBy("lang", "phrase").agg(total).select("lang", words.alias("words"), "phrase", "n")
 
 
 # ---- scores

@@ -73,9 +73,15 @@ def test_failures_of_the_border_bring_in_longer_phrases(spark):
     texts = spark.createDataFrame([("en", "a b c d. a b c d, x")] * 3, "lang string, text string")
     proposed = spark.createDataFrame([(int(h),) for h in _hashes("en", ["a", "b"])], "hash long")
     table = co.with_phrases(co.empty_table(), proposed)
-    first = {r["phrase"]: (r["n"], r["inside"]) for r in co.count(texts, co.sent(spark, table)).collect() if r["words"]}
-    assert first == {"a": (6, True), "b": (6, True), "c": (6, False), "d": (6, False), "x": (3, False), "a b": (6, False)}
-    found = {r["phrase"]: r["n"] for r in co.closed(texts, table, 6).collect() if r["words"]}
+    first = co.count(texts, co.sent(spark, table)).collect()
+    assert {r["phrase"]: r["n"] for r in first if r["phrase"]} == {"a": 6, "b": 6}
+    border = {h: 6 for h in _hashes("en", ["c", "d"]).tolist()} | {int(_hashes("en", ["x"])[0]): 3}
+    border[int(co._joined_hash(*_hashes("en", ["a", "b"]).view(np.uint64)[:, None]).view(np.int64)[0])] = 6
+    assert {r["hash"]: r["n"] for r in first if r["phrase"] is None} == border
+    _, passes = co.closed(texts, table, 6)
+    rows = [r for found in passes for r in found.collect() if r["phrase"]]
+    found = {r["phrase"]: r["n"] for r in rows}
+    assert len(passes) == 5 and len(rows) == len(found)
     assert found == dict.fromkeys(["a", "b", "c", "d", "a b", "b c", "c d", "a b c", "b c d", "a b c d"], 6)
 
 
