@@ -10,7 +10,7 @@ A phrase of k words can only be frequent if its first and its last k - 1 words a
    and that no pass has counted; until a pass ends without failures.
 
 Proposed phrases are counted as text. The border is large and nearly all of it is rare, so it is
-counted by 64-bit hashes; a collision can only make a count too large, and as failures are counted
+counted by the upper 44 or more bits of a hash (`key_bits`); a collision can only make a count too large, and as failures are counted
 as text by the next pass, all counts that come out are exact. Every phrase is counted over all texts,
 so counts do not depend on the sample; a poor sample only costs passes, of which there are at most
 one more than words in the longest phrase, but for collisions.
@@ -18,9 +18,10 @@ one more than words in the longest phrase, but for collisions.
 **At scale.** The proposal grows with the corpus, so tasks get it as a bit table of fixed size
 (2 ** `BITS` bits, 16 MB): a false hit only has one more phrase counted. Its bits are combined by
 Spark; only the table reaches the driver. Tasks count a few megabytes of text at a time as arrays of
-word numbers and emit one row per distinct phrase, language and stretch, so no frequent word or
-phrase makes a hot key; the rows are then summed by hash. What each pass finds is stored in the
-shared folder. Products are decimals, so no count is too large for them.
+word numbers, so no frequent word or phrase makes a hot key: proposed phrases are summed per task,
+border hashes are packed into lists, one for each bucket of hashes and power of two in their counts,
+which take 4 bytes a phrase, are dealt out by bucket, and only then unpacked and summed. What each
+pass finds is stored in the shared folder. Products are decimals, so no count is too large for them.
 
 Defined results: a null text has no words, a null language is `und`. Repeated rows count as often
 as they come. An empty table gives an empty result. Other columns are not read. Equal scores are
@@ -54,6 +55,8 @@ BITS = 27
 PROBES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 #: Bytes of text that a task counts at a time; a longer text is counted alone.
 STRETCH = 6 << 20
+#: Rows of proposed phrases that a task holds before it sums them.
+HELD = 500_000
 #: Slots in which each language's best rows are found before they meet.
 SLOTS = (64, 8)
 
@@ -62,7 +65,13 @@ _CLASS = np.zeros(256, dtype=np.uint8)
 _CLASS[list(b" \t")] = 1
 _CLASS[list(PIECE_ENDS)] = 2
 
-ROWS = "hash long, lang string, phrase string, n long"
+ROWS = "bucket int, lang string, phrase string, n long, lows array<int>"
+LOW_BITS = 32
+
+
+def key_bits(spark: SparkSession) -> int:
+    """Bits of a hash that are used: 32 within a bucket, and buckets enough to fill all tasks evenly."""
+    return LOW_BITS + max(12, (16 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
 
 
 # ---- the table of proposed phrases
@@ -72,21 +81,21 @@ def empty_table(bits: int = BITS) -> np.ndarray:
     return np.zeros(1 << (bits - 6), dtype=np.uint64)
 
 
-def _positions(hashes: np.ndarray, slots: int) -> Iterator[np.ndarray]:
+def _positions(keys: np.ndarray, slots: int) -> Iterator[np.ndarray]:
     """Numbers of a phrase's bits in a table of `slots` 64-bit words, a power of two."""
     for probe in PROBES:
-        yield (hashes * probe) >> np.uint64(64 - 5 - slots.bit_length())
+        yield (keys * probe) >> np.uint64(64 - 5 - slots.bit_length())
 
 
-def has(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    found = np.ones(len(hashes), dtype=bool)
-    for at in _positions(hashes, len(table)):
+def has(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    found = np.ones(len(keys), dtype=bool)
+    for at in _positions(keys, len(table)):
         found &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
     return found
 
 
 def with_phrases(table: np.ndarray, phrases: DataFrame) -> np.ndarray:
-    """The table with the phrases' bits set as well; bits are combined before they are collected."""
+    """The table with the bits of phrases (bucket, low) set as well; bits are combined before they are collected."""
 
     slots = len(table)
 
@@ -98,7 +107,8 @@ def with_phrases(table: np.ndarray, phrases: DataFrame) -> np.ndarray:
         at = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(own[at].view(np.int64))], names=["at", "bits"])
 
-    rows = phrases.select("hash").mapInArrow(bits, "at long, bits long")
+    key = F.shiftleft(F.col("bucket").cast("long"), LOW_BITS).bitwiseOR(F.col("low").cast("long").bitwiseAND((1 << LOW_BITS) - 1))
+    rows = phrases.select(key).mapInArrow(bits, "at long, bits long")
     merged = rows.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     table = table.copy()
     at = merged.column("at").to_numpy()
@@ -138,10 +148,12 @@ def _words(text: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return table.indices.to_numpy(zero_copy_only=False).astype(np.int64), table.dictionary, on
 
 
-def tally(text: bytes, lang: str, now: np.ndarray, before: np.ndarray | None, spelled: bool = True) -> Iterator[pa.RecordBatch]:
-    """Counts in one stretch: phrases all of whose parts `now` has, but none that is settled.
+def tally(
+    text: bytes, lang: str, now: np.ndarray, before: np.ndarray | None, bits: int, spelled: bool = True
+) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array | None]]:
+    """Keys, counts and text of phrases in one stretch all of whose parts `now` has, but none that is settled.
 
-    Those that `now` has too come with their text (if `spelled`), the others, the border, by hash
+    Those that `now` has too come with their text (if `spelled`), the others, the border, by key
     alone. `before` is the table of the pass before: what it had, was counted; what had all parts in
     it, was counted or is not frequent. Without `before` the number of words is given, as phrase ''.
     """
@@ -150,14 +162,15 @@ def tally(text: bytes, lang: str, now: np.ndarray, before: np.ndarray | None, sp
         return
     seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "replace"))
     of_word = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
-    size = len(words)
+    size, unused = len(words), np.uint64(64 - bits)
     makeup, hashes, counts = np.arange(size)[:, None], of_word, np.bincount(codes, minlength=size)
-    inside = has(now, hashes)
+    keys = hashes >> unused
+    inside = has(now, keys)
     # of distinct phrases: whether `before` had all parts, and the phrase as well
     tested = np.full(size, before is not None)
-    passed = tested & has(before, hashes) if before is not None else tested
+    passed = tested & has(before, keys) if before is not None else tested
     if before is None and spelled:
-        yield _rows(of_word[:1], np.array([len(codes)]), lang, pa.array([""], pa.large_string()))
+        yield keys[:1], np.array([len(codes)]), pa.array([""], pa.large_string())
     # the number of the phrase that begins at each place, -1 where it isn't proposed
     at = np.where(inside[codes], codes, -1)
     for k in range(1, LONGEST + 1):
@@ -170,49 +183,83 @@ def tally(text: bytes, lang: str, now: np.ndarray, before: np.ndarray | None, sp
             first, last = kinds // size, kinds % size
             makeup = np.column_stack([makeup[first], last])
             hashes = _joined_hash(hashes[first], of_word[last])
-            inside = has(now, hashes)
+            keys = hashes >> unused
+            inside = has(now, keys)
             if before is None:
                 tested = passed = np.zeros(len(kinds), dtype=bool)
             else:
                 some_place = np.zeros(len(kinds), dtype=np.int64)
                 some_place[numbers] = places
                 tested = passed[first] & passed[at[some_place + 1]]
-                passed = tested & has(before, hashes)
+                passed = tested & has(before, keys)
             at = np.full(len(codes), -1)
             at[places] = np.where(inside[numbers], numbers, -1)
-        if spelled and (known := inside & ~passed).any():
+        known = inside & ~passed
+        if spelled and known.any():
             parts = [words.take(pa.array(makeup[known, j])) for j in range(k)]
-            yield _rows(hashes[known], counts[known], lang, pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())))
+            yield keys[known], counts[known], pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
         border = ~inside & ~tested
-        yield _rows(hashes[border], counts[border])
+        yield keys[border], counts[border], None
+
 
+def _buckets(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(LOW_BITS)).astype(np.int32)
 
-def _rows(hashes: np.ndarray, counts: np.ndarray, lang: str | None = None, phrases: pa.Array | None = None) -> pa.RecordBatch:
-    size = len(hashes)
-    langs = pa.nulls(size, pa.string()) if phrases is None else pa.repeat(pa.scalar(lang, pa.string()), size)
-    spelled = pa.nulls(size, pa.string()) if phrases is None else phrases.cast(pa.string())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(hashes.view(np.int64)), langs, spelled, pa.array(counts.astype(np.int64))], names=["hash", "lang", "phrase", "n"]
+
+def _spelled(keys: np.ndarray, counts: np.ndarray, lang: str, phrases: pa.Array) -> pa.Table:
+    return pa.table(
+        {"bucket": _buckets(keys), "lang": pa.repeat(pa.scalar(lang, pa.string()), len(keys)), "phrase": phrases.cast(pa.string()), "n": counts.astype(np.int64)}
     )
 
 
+def _packed(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Lists of keys per bucket: those whose count holds 1, those whose count holds 2, 4 and so on."""
+    for power in range(int(counts.max(initial=0)).bit_length()):
+        own = np.sort(keys[(counts >> power) & 1 == 1])
+        buckets = _buckets(own)
+        starts = np.flatnonzero(np.diff(buckets, prepend=-1))
+        lows = pa.array((own & np.uint64((1 << LOW_BITS) - 1)).astype(np.uint32).view(np.int32))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(own)).astype(np.int32)), lows)
+        none, n = pa.nulls(len(starts), pa.string()), np.full(len(starts), 1 << power)
+        yield pa.RecordBatch.from_arrays([pa.array(buckets[starts]), none, none, pa.array(n), lists], names=["bucket", "lang", "phrase", "n", "lows"])
+
+
+def _summed(held: list[pa.Table]) -> pa.Table:
+    rows = pa.concat_tables(held).group_by(["bucket", "lang", "phrase"]).aggregate([("n", "sum")])
+    return rows.rename_columns({"n_sum": "n"}).select(["bucket", "lang", "phrase", "n"])
+
+
+def _with_no_lists(rows: pa.Table) -> list[pa.RecordBatch]:
+    return rows.append_column("lows", pa.nulls(len(rows), pa.list_(pa.int32()))).combine_chunks().to_batches()
+
+
 def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None = None, spelled: bool = True) -> DataFrame:
     """Whole-table counts of the phrases that `tally` counts; texts has lang and text, no nulls.
 
-    Stretches hardly share border phrases, so rows are summed after they are dealt out.
+    bucket, low, n for the border; bucket, lang, phrase, n for the others.
     """
+    bits = key_bits(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = _opened(now_sent.value)
         before = _opened(before_sent.value) if before_sent else None
         held: dict[str, list[bytes]] = {}
         size = 0
+        sums: list[pa.Table] = []
 
-        def flush():
+        def flush() -> Iterator[pa.RecordBatch]:
             while held:
                 lang, parts = held.popitem()
                 # texts are apart like pieces; lower() of bytes changes A-Z alone
-                yield from tally(b".".join(parts).lower(), lang, now, before, spelled)
+                for keys, counts, phrases in tally(b".".join(parts).lower(), lang, now, before, bits, spelled):
+                    if phrases is None:
+                        yield from _packed(keys, counts)
+                    else:
+                        sums.append(_spelled(keys, counts, lang, phrases))
+            if sum(map(len, sums)) >= HELD:
+                sums[:] = [_summed(sums)]
+                if len(sums[0]) >= HELD // 2:
+                    yield from _with_no_lists(sums.pop())
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
@@ -223,14 +270,12 @@ def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None =
                     yield from flush()
                     size = 0
         yield from flush()
+        if sums:
+            yield from _with_no_lists(_summed(sums))
 
-    return (
-        texts.select("lang", "text")
-        .mapInArrow(run, ROWS)
-        .repartition("hash")
-        .groupBy("hash", "lang", "phrase")
-        .agg(F.sum("n").alias("n"))
-    )
+    dealt = texts.select("lang", "text").mapInArrow(run, ROWS).repartition("bucket")
+    unpacked = dealt.select("bucket", "lang", "phrase", "n", F.explode_outer("lows").alias("low"))
+    return unpacked.groupBy("bucket", "low", "lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:

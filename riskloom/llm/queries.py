@@ -17,6 +17,7 @@ from . import (
     sentencepiece_codec,
     topk_search,
     warc,
+    whitening,
 )
 from .common import Query, read
 
@@ -35,6 +36,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": lambda spark, sf_dir: license_scan.digest(read(spark, sf_dir, "documents")),
     "op9_mixing": lambda spark, sf_dir: mixing.digest(read(spark, sf_dir, "documents")),
     "op10_near_dedup": lambda spark, sf_dir: near_dedup.digest(read(spark, sf_dir, "documents")),
+    "op11_whitening": lambda spark, sf_dir: whitening.digest(read(spark, sf_dir, "embeddings")),
     "op12_phrases": lambda spark, sf_dir: collocations.digest(read(spark, sf_dir, "documents")),
     "op13_sentencepiece": lambda spark, sf_dir: sentencepiece_codec.digest(
         read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")

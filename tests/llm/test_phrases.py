@@ -71,13 +71,13 @@ def test_a_full_table_of_bits_only_counts_more(spark):
 
 def test_failures_of_the_border_bring_in_longer_phrases(spark):
     texts = spark.createDataFrame([("en", "a b c d. a b c d, x")] * 3, "lang string, text string")
-    proposed = spark.createDataFrame([(int(h),) for h in _hashes("en", ["a", "b"])], "hash long")
+    proposed = spark.createDataFrame(_keys(spark, _hashes("en", ["a", "b"])), "bucket int, low int")
     table = co.with_phrases(co.empty_table(), proposed)
     first = co.count(texts, co.sent(spark, table)).collect()
     assert {r["phrase"]: r["n"] for r in first if r["phrase"]} == {"a": 6, "b": 6}
-    border = {h: 6 for h in _hashes("en", ["c", "d"]).tolist()} | {int(_hashes("en", ["x"])[0]): 3}
-    border[int(co._joined_hash(*_hashes("en", ["a", "b"]).view(np.uint64)[:, None]).view(np.int64)[0])] = 6
-    assert {r["hash"]: r["n"] for r in first if r["phrase"] is None} == border
+    a_b = co._joined_hash(*_hashes("en", ["a", "b"])[:, None])
+    border = dict.fromkeys(_keys(spark, np.append(_hashes("en", ["c", "d"]), a_b)), 6) | {_keys(spark, _hashes("en", ["x"]))[0]: 3}
+    assert {(r["bucket"], r["low"]): r["n"] for r in first if r["phrase"] is None} == border
     _, passes = co.closed(texts, table, 6)
     rows = [r for found in passes for r in found.collect() if r["phrase"]]
     found = {r["phrase"]: r["n"] for r in rows}
@@ -89,7 +89,12 @@ def _hashes(lang, words):
     import xxhash
 
     seed = xxhash.xxh64_intdigest(lang.encode())
-    return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], dtype=np.uint64).view(np.int64)
+    return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], dtype=np.uint64)
+
+
+def _keys(spark, hashes):
+    keys = hashes >> np.uint64(64 - co.key_bits(spark))
+    return [(int(k) >> 32, int(np.uint32(k & np.uint64(2**32 - 1)).view(np.int32))) for k in keys]
 
 
 def test_counts_past_64_bits(spark):
