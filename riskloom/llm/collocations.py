@@ -55,8 +55,9 @@ BITS = 27
 PROBES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 #: Bytes of text that a task counts at a time; a longer text is counted alone.
 STRETCH = 6 << 20
-#: Rows of proposed phrases that a task holds before it sums them.
+#: Rows of proposed phrases and keys of border phrases that a task holds before it sums them.
 HELD = 500_000
+HELD_KEYS = 3_000_000
 #: Slots in which each language's best rows are found before they meet.
 SLOTS = (64, 8)
 
@@ -212,10 +213,16 @@ def _spelled(keys: np.ndarray, counts: np.ndarray, lang: str, phrases: pa.Array)
     )
 
 
-def _packed(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """Lists of keys per bucket: those whose count holds 1, those whose count holds 2, 4 and so on."""
+    keys, counts = (np.concatenate(parts) for parts in zip(*held))
+    held.clear()
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else order
+    keys, counts = keys[starts], np.add.reduceat(counts[order], starts) if len(starts) else counts
     for power in range(int(counts.max(initial=0)).bit_length()):
-        own = np.sort(keys[(counts >> power) & 1 == 1])
+        own = keys[(counts >> power) & 1 == 1]
         buckets = _buckets(own)
         starts = np.flatnonzero(np.diff(buckets, prepend=-1))
         lows = pa.array((own & np.uint64((1 << LOW_BITS) - 1)).astype(np.uint32).view(np.int32))
@@ -246,6 +253,7 @@ def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None =
         held: dict[str, list[bytes]] = {}
         size = 0
         sums: list[pa.Table] = []
+        border: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             while held:
@@ -253,9 +261,11 @@ def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None =
                 # texts are apart like pieces; lower() of bytes changes A-Z alone
                 for keys, counts, phrases in tally(b".".join(parts).lower(), lang, now, before, bits, spelled):
                     if phrases is None:
-                        yield from _packed(keys, counts)
+                        border.append((keys, counts))
                     else:
                         sums.append(_spelled(keys, counts, lang, phrases))
+            if sum(len(keys) for keys, _ in border) >= HELD_KEYS:
+                yield from _packed(border)
             if sum(map(len, sums)) >= HELD:
                 sums[:] = [_summed(sums)]
                 if len(sums[0]) >= HELD // 2:
@@ -270,6 +280,8 @@ def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None =
                     yield from flush()
                     size = 0
         yield from flush()
+        if border:
+            yield from _packed(border)
         if sums:
             yield from _with_no_lists(_summed(sums))
 
