@@ -52,9 +52,18 @@ def purchase_edges(spark, sf):
     )
 
 
-_PURCHASES = (
-    "lines AS (SELECT o_custkey * 3 AS c, l_suppkey * 3 + 1 AS s, l_partkey * 3 + 2 AS p FROM lineitem "
-    "JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R')"
+_LINES = (
+    "lines AS MATERIALIZED (SELECT o_custkey * 3 AS c, l_suppkey * 3 + 1 AS s, l_partkey * 3 + 2 AS p FROM lineitem "
+    "JOIN orders ON l_orderkey = o_orderkey)"
+)
+#: CTEs `links` (both ways, a row per line), `simple` and `sym` (each pair once, and both ways) of all lines.
+_PARTIES = _LINES + (
+    ", sides AS (SELECT c AS src, s AS dst FROM lines UNION ALL SELECT s, p FROM lines UNION ALL SELECT p, c FROM lines)"
+    ", links AS MATERIALIZED (SELECT src, dst FROM sides UNION ALL SELECT dst, src FROM sides)"
+    ", simple AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM sides)"
+    ", sym AS MATERIALIZED (SELECT a AS src, b AS dst FROM simple UNION ALL SELECT b, a FROM simple)"
+)
+_PURCHASES = _LINES + (
     ", cs AS MATERIALIZED (SELECT DISTINCT c, s FROM lines), sp AS MATERIALIZED (SELECT DISTINCT s, p FROM lines)"
     ", pc AS MATERIALIZED (SELECT DISTINCT p, c FROM lines)"
     ", tri AS MATERIALIZED (SELECT cs.c, cs.s, pc.p FROM cs JOIN pc ON cs.c = pc.c JOIN sp ON sp.s = cs.s AND sp.p = pc.p)"
@@ -165,7 +174,7 @@ def _(spark, sf):
 
 @query(
     "network_density",
-    f"WITH {_LINKS}, k AS (SELECT (SELECT count(DISTINCT src) FROM sym) AS vertices, (SELECT count(*) FROM simple) AS edges) "
+    f"WITH {_PARTIES}, k AS (SELECT (SELECT count(DISTINCT src) FROM sym) AS vertices, (SELECT count(*) FROM simple) AS edges) "
     f"SELECT vertices, edges, {o.rnd(o.div('edges', 'vertices * (vertices - 1) / 2e0'), 6)} AS density FROM k",
 )
 def _(spark, sf):
@@ -190,7 +199,7 @@ def _pagerank_sql(rounds: int, damping: float = 0.85) -> str:
     return ", ".join(ctes)
 
 
-@query("pagerank", f"WITH {_LINKS}, {_pagerank_sql(10)} SELECT id, {o.rnd('rank', 8)} AS rank FROM r10")
+@query("pagerank", f"WITH {_PARTIES}, {_pagerank_sql(10)} SELECT id, {o.rnd('rank', 8)} AS rank FROM r10")
 def _(spark, sf):
     # the parties of a line have no order, so rank passes both ways
     ranks = graph.pagerank(graph.both_ways(purchase_edges(spark, sf)), rounds=10)
@@ -208,7 +217,7 @@ def _propagation_sql(rounds: int) -> str:
     return ", ".join(ctes)
 
 
-@query("community_detection", f"WITH {_LINKS}, {_propagation_sql(5)} SELECT id, community FROM p5")
+@query("community_detection", f"WITH {_PARTIES}, {_propagation_sql(5)} SELECT id, community FROM p5")
 def _(spark, sf):
     return graph.label_propagation(purchase_edges(spark, sf), rounds=5)
 
