@@ -220,7 +220,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def _sql() -> str:
-    rows = ", ".join(f"({n}, '{label}', {size}, {t}, '{gram}')" for n, label, size, t, gram in _GRAMS)
+    rows = ", ".join(f"({n}, '{label}', {size}, {t}, '{gram}', '{_VERSIONS[n]}')" for n, label, size, t, gram in _GRAMS)
     hit = " UNION ALL ".join(
         f"SELECT k, i, '{label}' AS label FROM p WHERE "
         + " AND ".join(f"{word} = '{part}'" for word, part in zip("abc", phrase.split()))
@@ -234,17 +234,18 @@ u AS (SELECT k, unnest(words) AS a, unnest(range(len(words))) AS i FROM d),
 p AS (SELECT k, i, a, lead(a) OVER (PARTITION BY k ORDER BY i) AS b, lead(a, 2) OVER (PARTITION BY k ORDER BY i) AS c FROM u),
 b AS (SELECT k, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
   list_distinct(list(label)) AS base FROM ({hit}) GROUP BY k),
-g(template, label, size, t, gram) AS (VALUES {rows}),
-h AS (SELECT p.k, g.template, g.label, g.size, p.i AS p, p.i - g.t AS diagonal FROM p JOIN g
+g(template, label, size, t, gram, version) AS (VALUES {rows}),
+h AS (SELECT p.k, g.template, g.label, g.size, g.version, p.i AS p, p.i - g.t AS diagonal FROM p JOIN g
   ON a || ' ' || b || ' ' || c = g.gram),
-v AS (SELECT k, template, label, size, diagonal, count(*) AS votes, min(p) AS p0, max(p) AS p1 FROM h GROUP BY ALL),
+v AS (SELECT k, template, label, size, version, diagonal, count(*) AS votes, min(p) AS p0, max(p) AS p1 FROM h GROUP BY ALL),
 l AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY k, template ORDER BY diagonal) > {SHIFT}
   THEN 1 ELSE 0 END AS apart FROM v),
 m AS (SELECT *, sum(apart) OVER (PARTITION BY k, template ORDER BY diagonal) AS island FROM l),
-s AS (SELECT k, label, least(1e0, CAST(sum(votes) AS DOUBLE) / (size - {GRAM - 1})) AS coverage, size,
-  max(p1) - min(p0) + {GRAM} AS taken FROM m GROUP BY k, template, label, size, island),
-f AS (SELECT k, list_distinct(list(label)) AS found, max(coverage) AS best FROM s
-  WHERE coverage >= {COVERAGE} AND taken <= size * {STRETCH} GROUP BY k)
+s AS (SELECT k, label, version, max(p1) AS p1, least(1e0, CAST(sum(votes) AS DOUBLE) / (size - {GRAM - 1})) AS coverage, size,
+  max(p1) - min(p0) + {GRAM} AS taken FROM m GROUP BY k, template, label, size, version, island),
+f AS (SELECT k, list_distinct(list(label)) AS found, max(coverage) AS best FROM s JOIN d USING (k)
+  WHERE coverage >= {COVERAGE} AND taken <= size * {STRETCH} AND (version = '' OR version =
+    regexp_extract(' ' || array_to_string(words[p1 + 1 : p1 + {GRAM + REACH}], ' ') || ' ', '{VERSION}', 1)) GROUP BY k)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
   coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(found, [])))), ','), '') AS labels,

@@ -36,6 +36,8 @@ def odd_documents(spark):
         (3, "the same line\nthe same line\n\nother", "en", None, "x", 1.0),
         (4, "wörd " * 40_000, "de", "b", "x", 1.0),
         (5, "1234 !!! ½ ☃", "en", "b", "x", 1.0),
+        (6, "Licensed under the GNU General Public License, version 2.", "en", "b", "x", 1.0),
+        (7, "Licensed under the GNU General Public License version 3 only.", "en", "b", "x", 1.0),
     ]
     return spark.createDataFrame(rows, EMPTY + ", labels string, score double")
 
