@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio
-from ..session import cut_lineage
+from ..session import cut_lineage, work_dir
 from .proximity import density
 
 
@@ -159,68 +162,140 @@ def network_density(edges: DataFrame) -> DataFrame:
     ).withColumn("density", F.round(density(F.col("vertices"), F.col("edges")), 6))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read again; unlike a checkpoint, its size is known to joins."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class VertexCut:
+    """Directed edges (src, dst, share) stored by source, parallel ones as one, hubs cut into slots.
+
+    A source with more than its share of the edges is a hub: its edges are dealt to slots by their
+    other end, so that no task holds more than about a share. Shares are so large that there can't be
+    more hubs than `4 * slots`; their table is small whatever the graph. Edges are stored bucketed by
+    (src, slot), so `deliver` moves only what is sent, never the edges.
+
+    `share` is an edge's part of its source's edges, counted by the column `weight` if given. `edges`
+    is read twice.
+    """
+
+    def __init__(self, edges: DataFrame, weight: str | None = None):
+        spark = edges.sparkSession
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        slots = max(64, tasks)
+        n = F.col(weight) if weight else F.lit(1)
+        edges = edges.select("src", "dst", n.alias("n"))
+        self.sources = _stored(edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("edges"), F.sum("n").alias("out")), "sources")
+        share = max(1, -(-(self.sources.agg(F.sum("edges")).first()[0] or 0) // (4 * slots)))
+        parts = F.ceil(F.col("edges") / share).cast("int").alias("parts")
+        self.hubs = cut_lineage(self.sources.filter(F.col("edges") > share).select("id", parts))
+        self.has_hubs = not self.hubs.isEmpty()
+        # adaptive execution may broadcast the sources or split a hub's edges
+        known = edges.join(self.sources.select(F.col("id").alias("src"), parts, "out"), "src")
+        slot = F.pmod(F.xxhash64("dst"), "parts").cast("int").alias("slot")
+        name = "edges_" + uuid.uuid4().hex
+        (
+            known.select("src", slot, "dst", (F.col("n") / F.col("out")).alias("share"))
+            .repartition(tasks, "src", "slot")
+            .groupBy("src", "slot", "dst")
+            .agg(F.sum("share").alias("share"))
+            .write.bucketBy(tasks, "src", "slot")
+            .option("path", work_dir(spark, name))
+            .format("parquet")
+            .saveAsTable(name)
+        )
+        self.edges = spark.read.table(name)
+
+    def deliver(self, sent: DataFrame) -> DataFrame:
+        """Each edge with what its source, `id`, sends; a source that sends nothing drops out.
+
+        Where what is sent is stored and small enough, Spark sends it to all tasks instead.
+        """
+        if self.has_hubs:
+            parts = sent.join(F.broadcast(self.hubs), "id", "left")
+            last = F.coalesce("parts", F.lit(1)) - 1
+            copies = parts.withColumn("slot", F.explode(F.sequence(F.lit(0), last))).drop("parts")
+        else:
+            copies = sent.withColumn("slot", F.lit(0))
+        copies = copies.withColumnRenamed("id", "src")
+        return self.edges.join(copies, ["src", "slot"])
+
+
 def pagerank(
-    edges: DataFrame, rounds: int = 10, damping: float = 0.85, cut_every: int = 5
+    edges: DataFrame, rounds: int = 10, damping: float = 0.85, tolerance: float = 0.0, weight: str | None = None
 ) -> DataFrame:
     """(id, rank) after a fixed number of rounds over directed edges; ranks sum to 1.
 
-    Parallel edges count. Rank of vertices without outgoing edges is spread over all.
+    Parallel edges count, by the column `weight` if given. Rank of vertices without outgoing edges is
+    spread over all.
+
+    Rounds pass on changes only: what a vertex's rank has changed by is sent along its edges, and a
+    vertex whose change is no larger than `tolerance` (of the mean rank) sends nothing. With 0 the
+    ranks are those of plain rounds. Changes of all rounds add up to the rank.
     """
-    shares = edges.groupBy("src", "dst").agg(F.count("*").alias("n"))
-    outgoing = edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out"))
-    links = cut_lineage(
-        shares.join(outgoing, F.col("src") == F.col("id"))
-        .select("src", "dst", (F.col("n") / F.col("out")).alias("share"))
-        .repartition("src")
-    )
-    everyone = vertices_of(edges).join(outgoing, "id", "left").select(
-        "id", F.col("out").isNull().alias("sink")
-    )
-    everyone = cut_lineage(everyone)
+    links = VertexCut(edges, weight)
+    ends = links.sources.select("id", F.lit(False).alias("sink")).unionAll(links.edges.select(F.col("dst").alias("id"), F.lit(True).alias("sink")))
+    everyone = _stored(ends.groupBy("id").agg(F.min("sink").alias("sink")), "vertices")
     size, sinks = everyone.agg(F.count("*"), F.count_if("sink")).first()
-    # the lost rank is read off the table a round starts from: without a cut in between,
-    # every round would hold the one before it twice
-    cut_every = 1 if sinks else cut_every
-    ranks = everyone.withColumn("rank", F.lit(1.0) / size)
+    if not size:
+        return everyone.select("id", F.lit(0.0).alias("rank"))
+    is_sink = everyone.filter("sink").select("id")
+    change = everyone.select("id", F.lit(1.0 / size).alias("rank"))
+    changes = [change]
     for done in range(1, rounds + 1):
-        lost = (
-            ranks.filter("sink").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
-            if sinks
-            else F.lit(0.0)
-        )
-        sent = links.join(ranks.select(F.col("id").alias("src"), "rank"), "src").select(
-            F.col("dst").alias("id"), F.lit(None).cast("boolean").alias("sink"),
-            (F.col("rank") * F.col("share")).alias("rank"),
-        )
-        # one grouping both adds up what arrives and keeps vertices nothing arrives at
-        ranks = (
-            sent.unionByName(everyone.withColumn("rank", F.lit(0.0)))
-            .groupBy("id")
-            .agg(F.max("sink").alias("sink"), F.sum("rank").alias("rank"))
-            .select(
-                "id", "sink",
-                ((1 - damping) / size + damping * (F.col("rank") + lost / size)).alias("rank"),
-            )
-        )
-        if done % cut_every == 0:
-            ranks = cut_lineage(ranks)
-    return ranks.select("id", "rank")
+        sent = links.deliver(change).select(F.col("dst").alias("id"), (F.col("rank") * F.col("share") * damping).alias("rank"))
+        # what all vertices change by alike: lost rank, and in the first round the step to the base rank
+        alike = 0.0
+        if sinks:
+            alike = damping * (change.join(is_sink, "id", "left_semi").agg(F.sum("rank")).first()[0] or 0.0) / size
+        if done == 1:
+            alike += (1 - damping) / size - 1.0 / size
+        if alike:
+            sent = sent.unionAll(everyone.select("id", F.lit(alike)))
+        change = _stored(sent.groupBy("id").agg(F.sum("rank").alias("rank")).filter(F.abs("rank") > tolerance / size), "change")
+        if change.isEmpty():
+            break
+        changes.append(change)
+    return reduce(DataFrame.unionAll, changes).groupBy("id").agg(F.sum("rank").alias("rank"))
 
 
-def label_propagation(edges: DataFrame, rounds: int = 5, cut_every: int = 2) -> DataFrame:
+def label_propagation(edges: DataFrame, rounds: int = 5, frontier: float = 0.25) -> DataFrame:
     """(id, community): each round every vertex takes its neighbours' commonest label, the
-    smallest one on a tie."""
-    around = cut_lineage(both_ways(undirected(edges)).repartition("src"))
-    labels = around.select(F.col("src").alias("id")).distinct().withColumn("community", F.col("id"))
-    for done in range(1, rounds + 1):
-        votes = (
-            around.join(labels.select(F.col("id").alias("src"), "community"), "src")
-            .groupBy(F.col("dst").alias("id"), "community")
-            .agg(F.count("*").alias("votes"))
+    smallest one on a tie.
+
+    Votes are recounted only at vertices that have a neighbour whose label changed in the round
+    before; the others would vote as they did. Where more than the share `frontier` of the vertices
+    changed, nearly all have such a neighbour, and looking for them costs more than it saves: then
+    all are recounted, with the same result. Votes meet by vertex and label first, then by vertex,
+    so a hub's votes are spread.
+    """
+    around = VertexCut(both_ways(edges.filter(F.col("src") != F.col("dst"))))
+    # with every vertex its own label, all labels have one vote and the smallest wins
+    labels = _stored(around.edges.groupBy(F.col("dst").alias("id")).agg(F.min("src").alias("community")), "labels")
+    if rounds < 1:
+        return labels.select("id", F.col("id").alias("community"))
+    size, changed = labels.count(), labels
+    moved = size
+    for _ in range(1, rounds):
+        votes = around.deliver(labels)
+        if moved <= frontier * size:
+            touched = around.deliver(changed.select("id")).select("dst").distinct()
+            votes = votes.join(touched, "dst", "left_semi")
+        counted = votes.groupBy(F.col("dst").alias("id"), "community").agg(F.count("*").alias("votes"))
+        # the largest count, then the smallest label
+        best = F.min_by("community", F.struct(-F.col("votes"), F.col("community")))
+        recounted = counted.groupBy("id").agg(best.alias("new"))
+        state = _stored(
+            labels.join(recounted, "id", "left").select(
+                "id", F.coalesce("new", "community").alias("community"), (F.col("new") != F.col("community")).alias("moved")
+            ),
+            "labels",
         )
-        labels = votes.groupBy("id").agg(
-            F.max(F.struct(F.col("votes"), (-F.col("community")).alias("least"))).alias("best")
-        ).select("id", (-F.col("best.least")).alias("community"))
-        if done % cut_every == 0:
-            labels = cut_lineage(labels)
+        changed = state.filter("moved").select("id", "community")
+        moved = changed.count()
+        if not moved:
+            break
+        labels = state.select("id", "community")
     return labels

@@ -220,3 +220,64 @@ def test_density_ranks_and_communities_hold_all_purchases(spark, purchases):
         votes = {v: [label[u] for u in near[v]] for v in near}
         label = {v: min(set(x), key=lambda c: (-x.count(c), c)) for v, x in votes.items()}
     assert {r.id: r.community for r in catalog.QUERIES["community_detection"](spark, path).collect()} == label
+
+
+def hub_graph():
+    """Vertex 0 has half of all edges, some parallel; vertices from 5000 on have no outgoing ones."""
+    rng = random.Random(6)
+    edges = [(0, i) for i in range(1, 3000)] + [(0, 7)] * 5
+    return edges + [(rng.randrange(1, 3000), rng.choice([0, rng.randrange(3000), rng.randrange(5000, 5050)])) for _ in edges]
+
+
+def test_hub_edges_are_spread_over_tasks(spark):
+    cut = graph.VertexCut(spark.createDataFrame(hub_graph(), "src long, dst long"))
+    total = cut.edges.count()
+    slots = [r["count"] for r in cut.edges.groupBy("src", "slot").count().collect()]
+    assert max(slots) < total / 50
+    assert cut.hubs.collect()[0]["id"] == 0 and cut.hubs.count() == 1
+    held = [r["count"] for r in cut.edges.filter("src = 0").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(held) == 4 and max(held) < 0.4 * sum(held)
+    sent = spark.createDataFrame([(0, 2.0), (5, 1.0)], "id long, rank double")
+    delivered = cut.deliver(sent)
+    assert delivered.filter("src = 0").count() == len(set(hub_graph()) & {(0, i) for i in range(6000)})
+    assert {r.src for r in delivered.select("src").distinct().collect()} <= {0, 5}
+
+
+def test_ranks_with_a_hub_and_sinks_equal_plain_rounds(spark):
+    edges = hub_graph()
+    out = {}
+    for a, b in edges:
+        out.setdefault(a, []).append(b)
+    everyone = {v for e in edges for v in e}
+    rank = dict.fromkeys(everyone, 1 / len(everyone))
+    for _ in range(6):
+        lost = sum(rank[v] for v in everyone if v not in out)
+        new = dict.fromkeys(everyone, (0.15 + 0.85 * lost) / len(everyone))
+        for a, ends in out.items():
+            for b in ends:
+                new[b] += 0.85 * rank[a] / len(ends)
+        rank = new
+    table = spark.createDataFrame(edges, "src long, dst long")
+    got = {r.id: r["rank"] for r in graph.pagerank(table, rounds=6).collect()}
+    assert got == pytest.approx(rank, rel=1e-9)
+    weighted = table.groupBy("src", "dst").agg(F.count("*").cast("double").alias("w"))
+    assert {r.id: r["rank"] for r in graph.pagerank(weighted, rounds=6, weight="w").collect()} == pytest.approx(rank, rel=1e-9)
+    near = {r.id: r["rank"] for r in graph.pagerank(table, rounds=6, tolerance=1e-4).collect()}
+    assert near == pytest.approx(rank, abs=1e-2 / len(everyone))
+
+
+def test_recounting_touched_vertices_equals_recounting_all(spark):
+    edges = hub_graph()[:4500] + [(i, i + 1) for i in range(6000, 6040)]
+    table = spark.createDataFrame(edges, "src long, dst long")
+    near = adjacency(edges)
+    label = {v: v for v in near}
+    for _ in range(6):
+        votes = {v: [label[u] for u in near[v]] for v in near}
+        label = {v: min(set(x), key=lambda c: (-x.count(c), c)) for v, x in votes.items()}
+    for frontier in (-1.0, 1.0):
+        assert {r.id: r.community for r in graph.label_propagation(table, 6, frontier).collect()} == label
+
+
+def test_graphs_without_edges(spark):
+    none = spark.createDataFrame([], "src long, dst long")
+    assert graph.pagerank(none).count() == 0 and graph.label_propagation(none).count() == 0
