@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio
-from ..session import cut_lineage, work_dir
+from ..session import cut_lineage, stored, work_dir
 from .proximity import density
 
 
@@ -162,13 +162,6 @@ def network_density(edges: DataFrame) -> DataFrame:
     ).withColumn("density", F.round(density(F.col("vertices"), F.col("edges")), 6))
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the shared folder and read again; unlike a checkpoint, its size is known to joins."""
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class VertexCut:
     """Directed edges (src, dst, share) stored by source, parallel ones as one, hubs cut into slots.
 
@@ -187,7 +180,7 @@ class VertexCut:
         slots = max(64, tasks)
         n = F.col(weight) if weight else F.lit(1)
         edges = edges.select("src", "dst", n.alias("n"))
-        self.sources = _stored(edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("edges"), F.sum("n").alias("out")), "sources")
+        self.sources = stored(edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("edges"), F.sum("n").alias("out")), "sources")
         share = max(1, -(-(self.sources.agg(F.sum("edges")).first()[0] or 0) // (4 * slots)))
         parts = F.ceil(F.col("edges") / share).cast("int").alias("parts")
         self.hubs = cut_lineage(self.sources.filter(F.col("edges") > share).select("id", parts))
@@ -237,7 +230,7 @@ def pagerank(
     """
     links = VertexCut(edges, weight)
     ends = links.sources.select("id", F.lit(False).alias("sink")).unionAll(links.edges.select(F.col("dst").alias("id"), F.lit(True).alias("sink")))
-    everyone = _stored(ends.groupBy("id").agg(F.min("sink").alias("sink")), "vertices")
+    everyone = stored(ends.groupBy("id").agg(F.min("sink").alias("sink")), "vertices")
     size, sinks = everyone.agg(F.count("*"), F.count_if("sink")).first()
     if not size:
         return everyone.select("id", F.lit(0.0).alias("rank"))
@@ -254,7 +247,7 @@ def pagerank(
             alike += (1 - damping) / size - 1.0 / size
         if alike:
             sent = sent.unionAll(everyone.select("id", F.lit(alike)))
-        change = _stored(sent.groupBy("id").agg(F.sum("rank").alias("rank")).filter(F.abs("rank") > tolerance / size), "change")
+        change = stored(sent.groupBy("id").agg(F.sum("rank").alias("rank")).filter(F.abs("rank") > tolerance / size), "change")
         if change.isEmpty():
             break
         changes.append(change)
@@ -273,7 +266,7 @@ def label_propagation(edges: DataFrame, rounds: int = 5, frontier: float = 0.25)
     """
     around = VertexCut(both_ways(edges.filter(F.col("src") != F.col("dst"))))
     # with every vertex its own label, all labels have one vote and the smallest wins
-    labels = _stored(around.edges.groupBy(F.col("dst").alias("id")).agg(F.min("src").alias("community")), "labels")
+    labels = stored(around.edges.groupBy(F.col("dst").alias("id")).agg(F.min("src").alias("community")), "labels")
     if rounds < 1:
         return labels.select("id", F.col("id").alias("community"))
     size, changed = labels.count(), labels
@@ -287,7 +280,7 @@ def label_propagation(edges: DataFrame, rounds: int = 5, frontier: float = 0.25)
         # the largest count, then the smallest label
         best = F.min_by("community", F.struct(-F.col("votes"), F.col("community")))
         recounted = counted.groupBy("id").agg(best.alias("new"))
-        state = _stored(
+        state = stored(
             labels.join(recounted, "id", "left").select(
                 "id", F.coalesce("new", "community").alias("community"), (F.col("new") != F.col("community")).alias("moved")
             ),

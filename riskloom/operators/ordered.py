@@ -4,19 +4,22 @@ Rows are laid out by range, so that each partition holds a contiguous stretch of
 window then runs inside each partition only, and the few per-partition totals (one row per
 partition) carry the sums forward. Equal values do not pile up: the range bounds are drawn over
 all order columns, so a tie on the first is split by the next. How many ranges a table gets is
-left to adaptive execution.
+left to adaptive execution. Quantiles need no order at all: brackets are counted into bins.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 
-# Accuracy of the sketch that brackets a quantile: the values of two such shares of the rows on
-# either side of the wanted rank are ordered exactly.
-SKETCH_ACCURACY = 100_000
+# Accuracy of the sketch that brackets a quantile first, and bins that a bracket is counted into.
+SKETCH_ACCURACY = 10_000
+BINS = 1_024
 
 
 def running(
@@ -83,71 +86,82 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_numbe
     return running(df, order, sums={name: F.lit(1).cast("long")})
 
 
+_BIN = "struct<bin:int,n:bigint,low:double,high:double>"
+
+
+def _bin_of_rank(bins: str, rank: str) -> Column:
+    """The first of the ordered bins that reaches past a 0-based rank."""
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast(_BIN).alias("hit"))
+
+    def add(so_far, b):
+        seen = so_far["seen"] + b["n"]
+        hit = F.when(so_far["hit"].isNull() & (seen > F.col(rank)), b).otherwise(so_far["hit"])
+        return F.struct(seen.alias("seen"), hit.alias("hit"))
+
+    return F.aggregate(bins, start, add, lambda done: done["hit"])
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None
 ) -> DataFrame:
     """Interpolated quantiles of a numeric column, one row per group (or one in all).
 
-    A sketch brackets each wanted rank, rows below the bracket are only counted, and just the
-    values inside it are ordered: two passes over the table and no global order. The sketch's
-    error is bounded, so the rank is always inside.
+    A small sketch brackets each wanted rank. Then all values are counted into the bracket's bins,
+    below and above it; the bin that holds the rank is the next bracket, until the rank's neighbours
+    are the ends of bins. Whatever the sketch says, the result is exact; a bad bracket costs a pass.
+    Nothing is ordered but a group's bins, of which there are `BINS` and two. The column is stored
+    on its own first, so that passes read nothing else. Nulls are left out, NaN is the largest value.
     """
     by = by or []
-    names = list(probs)
-    known = df.filter(F.col(value).isNotNull()).select(*by, value)
+    keys = by or ["_all"]
+    narrow = [F.col(c) for c in by] or [F.lit(0).alias("_all")]
+    known = stored(df.filter(F.col(value).isNotNull()).select(*narrow, F.col(value).cast("double").alias("_v")), "values")
     step = 2 / SKETCH_ACCURACY
+    names = list(probs)
     points = [min(max(probs[name] + shift, 0.0), 1.0) for name in names for shift in (-step, step)]
-    brackets = known.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(
-        F.count("*").alias("_size"),
-        F.percentile_approx(value, points, SKETCH_ACCURACY).alias("_bracket"),
+    sketch = known.groupBy(*keys).agg(
+        F.count("*").alias("_size"), F.percentile_approx("_v", points, SKETCH_ACCURACY).alias("_points")
+    )
+    wanted = F.array(
+        *[
+            F.struct(F.lit(name).alias("_name"), F.lit(float(probs[name])).alias("_p"), F.get("_points", F.lit(2 * i)).alias("_low"), F.get("_points", F.lit(2 * i + 1)).alias("_high"))
+            for i, name in enumerate(names)
+        ]
     )
-    if by:
-        # one row per group; joined by whatever its size allows
-        held = known.join(brackets, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]).drop(*[f"_of_{c}" for c in by])
-    else:
-        held = known.withColumns({c: brackets.select(c).scalar() for c in ("_size", "_bracket")})
-    v = F.col(value)
-    low = {name: F.get("_bracket", F.lit(2 * i)) for i, name in enumerate(names)}
-    high = {name: F.get("_bracket", F.lit(2 * i + 1)) for i, name in enumerate(names)}
-    # values below a bracket become one row per group, those inside keep theirs
-    inside = {name: (v >= low[name]) & (v <= high[name]) for name in names}
-    any_inside = F.lit(False)
-    for hit in inside.values():
-        any_inside = any_inside | hit
-    counted = held.groupBy(*by, F.when(any_inside, v).alias("_value")).agg(
-        F.count("*").alias("_n"),
-        F.first("_size").alias("_size"),
-        *[F.count_if(v < low[name]).alias(f"_below_{i}") for i, name in enumerate(names)],
-        *[F.max(inside[name]).alias(f"_in_{i}") for i, name in enumerate(names)],
-        *[F.max(F.when(v < low[name], v)).alias(f"_under_{i}") for i, name in enumerate(names)],
-        *[F.min(F.when(v > high[name], v)).alias(f"_over_{i}") for i, name in enumerate(names)],
+    exact = (F.col("_size") - 1) * F.col("_p")
+    open_ = sketch.select(*keys, "_size", F.inline(wanted)).select(
+        *keys, "_name", "_low", "_high",
+        F.floor(exact).alias("_lower"), F.ceil(exact).alias("_upper"), (exact - F.floor(exact)).alias("_part"),
     )
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    line = group.orderBy("_value")
-    ranked = counted.withColumns(
-        {f"_base_{i}": F.sum(f"_below_{i}").over(group) for i in range(len(names))}
-        | {
-            f"_upto_{i}": F.sum(F.when(F.col(f"_in_{i}") & F.col("_value").isNotNull(), F.col("_n")).otherwise(0)).over(line)
-            for i in range(len(names))
-        }
+    v, low, high = F.col("_v"), F.col("_low"), F.col("_high")
+    # halves, so that no difference overflows; what is no number goes between the ends
+    place = F.nanvl((v / 2 - low / 2) / (high / 2 - low / 2), F.lit(0.5)) * BINS
+    at = (
+        F.when(v < low, -1)
+        .when(v > high, BINS)
+        .when(v == low, 0)
+        .when(v == high, BINS - 1)
+        .otherwise(F.least(F.greatest(F.floor(place), F.lit(0)), F.lit(BINS - 1)))
+        .cast("int")
     )
-    wanted = {}
-    for i, name in enumerate(names):
-        exact = (F.col("_size") - 1) * F.lit(float(probs[name]))
-        last = F.col(f"_base_{i}") + F.col(f"_upto_{i}") - 1
-        first = last - F.col("_n") + 1
-        own = F.col(f"_in_{i}") & F.col("_value").isNotNull()
-        # between two ranks one may be the neighbour of the bracket
-        ends = F.max(F.col(f"_base_{i}")), F.max(F.col(f"_base_{i}") + F.col(f"_upto_{i}"))
-        under, over = F.max(f"_under_{i}"), F.min(f"_over_{i}")
-
-        def at(rank, own=own, first=first, last=last, ends=ends, under=under, over=over):
-            whole = F.max(rank)
-            return F.coalesce(
-                F.max(F.when(own & (first <= rank) & (rank <= last), F.col("_value"))),
-                F.when(whole < ends[0], under).when(whole >= ends[1], over),
-            )
-
-        lower = at(F.floor(exact))
-        wanted[name] = lower + (at(F.ceil(exact)) - lower) * F.max(exact - F.floor(exact))
-    return ranked.groupBy(*by).agg(*[c.alias(name) for name, c in wanted.items()])
+    rank = ["_name", "_lower", "_upper", "_part"]
+    settled = []
+    while True:
+        named = open_.select(*[F.col(c).alias(f"_of_{c}") for c in keys], *rank, "_low", "_high")
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys])
+        # without groups, a row per wanted quantile
+        held = known.join(named if by else F.broadcast(named), same)
+        counted = held.groupBy(*keys, *rank, at.alias("bin")).agg(
+            F.count("*").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
+        )
+        lists = counted.groupBy(*keys, *rank).agg(F.array_sort(F.collect_list(F.struct("bin", "n", "low", "high"))).alias("_bins"))
+        found = stored(lists.select(*keys, *rank, _bin_of_rank("_bins", "_lower").alias("_a"), _bin_of_rank("_bins", "_upper").alias("_b")), "bins")
+        apart = (F.col("_a.bin") != F.col("_b.bin")) | (F.col("_a.low") == F.col("_a.high"))
+        settled.append(found.filter(apart).select(*keys, "_name", "_part", F.col("_a.high").alias("_from"), F.col("_b.low").alias("_to")))
+        open_ = found.filter(~apart).select(*keys, *rank, F.col("_a.low").alias("_low"), F.col("_a.high").alias("_high"))
+        if open_.isEmpty():
+            break
+    between = F.col("_from") + (F.col("_to") - F.col("_from")) * F.col("_part")
+    result = F.when(F.col("_from") == F.col("_to"), F.col("_from")).otherwise(between)
+    rows = reduce(DataFrame.unionAll, settled)
+    return rows.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == name, result)).alias(name) for name in names])

@@ -57,3 +57,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize `df` in the reliable checkpoint folder, so lost executors do not replay its history."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read again; unlike a checkpoint, its size is known to joins."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

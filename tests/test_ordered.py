@@ -50,6 +50,30 @@ def test_quantiles_equal_numpy(skewed):
     assert overall.median == pytest.approx(np.median([v for vs in values.values() for v in vs]))
 
 
+def test_quantiles_of_a_million_values_in_one_bracket(spark):
+    n = 1_000_000
+    near = spark.range(n).select(F.when(F.col("id") % 1000 == 0, F.col("id") * 1e6).otherwise(5 + F.pmod(F.col("id") * 7919, F.lit(n)) * 1e-9).alias("v"))
+    values = np.sort([i * 1e6 if i % 1000 == 0 else 5 + (i * 7919 % n) * 1e-9 for i in range(n)])
+    probs = {"a": 0.1, "median": 0.5, "b": 0.99, "top": 0.9995}
+    row = ordered.exact_quantiles(near, "v", probs).first()
+    for name, p in probs.items():
+        at = (n - 1) * p
+        low, high = values[int(np.floor(at))], values[int(np.ceil(at))]
+        assert row[name] == low + (high - low) * (at - np.floor(at))
+
+
+def test_quantiles_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", -inf), ("a", 1.0), ("a", 2.0), ("a", inf), ("b", 1e308), ("b", -1e308), ("b", 3.0), (None, 4.0), (None, None), ("c", None), ("n", nan), ("n", 1.0), ("n", 2.0)]
+    got = {r.g: (r.low, r.median) for r in ordered.exact_quantiles(spark.createDataFrame(rows, "g string, v double"), "v", {"low": 0.0, "median": 0.5}, ["g"]).collect()}
+    assert got == {"a": (-inf, 1.5), "b": (-1e308, 3.0), None: (4.0, 4.0), "n": (1.0, 2.0)}
+
+
+def test_quantiles_order_nothing(spark):
+    plan = ordered.exact_quantiles(spark.range(100).selectExpr("id * 1.5D AS v"), "v", {"q": 0.3})._jdf.queryExecution().toString()
+    assert "Window" not in plan
+
+
 def test_quantile_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     assert ordered.exact_quantiles(empty, "v", {"q": 0.5}).first().q is None
