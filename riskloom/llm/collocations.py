@@ -7,21 +7,22 @@ A phrase of k words can only be frequent if its first and its last k - 1 words a
    are not proposed, but all of whose parts are, as far as they occur. A border phrase that turns out
    frequent is a failure of the sample.
 3. The failures are added to the proposal, and a further pass counts the phrases that this brings in
-   and that no pass has counted; until a pass ends without failures.
+   and that no pass has counted; until a pass finds nothing frequent.
 
-Proposed phrases are counted as text. The border is large and nearly all of it is rare, so it is
-counted by the upper 44 or more bits of a hash (`key_bits`); a collision can only make a count too large, and as failures are counted
-as text by the next pass, all counts that come out are exact. Every phrase is counted over all texts,
-so counts do not depend on the sample; a poor sample only costs passes, of which there are at most
-one more than words in the longest phrase, but for collisions.
+The border is large and nearly all of it is rare, and so is much of a proposal, so a pass counts by
+the upper 44 or more bits of a hash (`key_bits`). A collision can only make a count too large, and
+what a pass finds frequent is counted as text by the next one, so all counts that come out are
+exact. Every phrase is counted over all texts, so counts do not depend on the sample; a poor sample
+only costs passes, of which there are at most one more than words in the longest phrase, but for
+collisions.
 
 **At scale.** The proposal grows with the corpus, so tasks get it as a bit table of fixed size
 (2 ** `BITS` bits, 16 MB): a false hit only has one more phrase counted. Its bits are combined by
 Spark; only the table reaches the driver. Tasks count a few megabytes of text at a time as arrays of
-word numbers, so no frequent word or phrase makes a hot key: proposed phrases are summed per task,
-border hashes are packed into lists, one for each bucket of hashes and power of two in their counts,
-which take 4 bytes a phrase, are dealt out by bucket, and only then unpacked and summed. What each
-pass finds is stored in the shared folder. Products are decimals, so no count is too large for them.
+word numbers, so no frequent word or phrase makes a hot key: text is summed per task, and hashes are
+packed into lists, one for each bucket of hashes and power of two in their counts, which take 4 bytes
+a phrase, are dealt out by bucket, and only then unpacked and summed. What each pass finds is stored
+in the shared folder. Products are decimals, so no count is too large for them.
 
 Defined results: a null text has no words, a null language is `und`. Repeated rows count as often
 as they come. An empty table gives an empty result. Other columns are not read. Equal scores are
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -43,7 +45,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import work_dir
+from riskloom.session import stored
 
 LONGEST = 4
 SUPPORT = 30
@@ -55,7 +57,7 @@ BITS = 27
 PROBES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 #: Bytes of text that a task counts at a time; a longer text is counted alone.
 STRETCH = 6 << 20
-#: Rows of proposed phrases and keys of border phrases that a task holds before it sums them.
+#: Rows of text and keys that a task holds before it sums them.
 HELD = 500_000
 HELD_KEYS = 3_000_000
 #: Slots in which each language's best rows are found before they meet.
@@ -117,7 +119,7 @@ def with_phrases(table: np.ndarray, phrases: DataFrame) -> np.ndarray:
     return table
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _opened(packed: bytes) -> np.ndarray:
     """The table sent to this worker, opened once."""
     return np.frombuffer(zstandard.decompress(packed), dtype=np.uint64)
@@ -149,14 +151,40 @@ def _words(text: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return table.indices.to_numpy(zero_copy_only=False).astype(np.int64), table.dictionary, on
 
 
-def tally(
-    text: bytes, lang: str, now: np.ndarray, before: np.ndarray | None, bits: int, spelled: bool = True
-) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array | None]]:
-    """Keys, counts and text of phrases in one stretch all of whose parts `now` has, but none that is settled.
+class Tables(NamedTuple):
+    """What a pass knows: the proposal now, before the last pass and before the one before it, and what
+    the last pass found frequent. None where there was no such pass."""
 
-    Those that `now` has too come with their text (if `spelled`), the others, the border, by key
-    alone. `before` is the table of the pass before: what it had, was counted; what had all parts in
-    it, was counted or is not frequent. Without `before` the number of words is given, as phrase ''.
+    now: np.ndarray | Broadcast
+    before: np.ndarray | Broadcast | None = None
+    older: np.ndarray | Broadcast | None = None
+    confirmed: np.ndarray | Broadcast | None = None
+
+
+class _Seen:
+    """Which distinct phrases of one length had all their parts in an earlier table, length by length."""
+
+    def __init__(self, table: np.ndarray | None):
+        self.table = table
+
+    def words(self, keys: np.ndarray) -> np.ndarray:
+        self.tested = np.full(len(keys), self.table is not None)
+        self.passed = self.tested & has(self.table, keys) if self.table is not None else self.tested
+        return self.tested
+
+    def longer(self, keys: np.ndarray, first: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """`first` and `rest` number the parts without the last and without the first word."""
+        self.tested = self.passed[first] & self.passed[rest]
+        self.passed = self.tested & has(self.table, keys) if self.table is not None else self.tested
+        return self.tested
+
+
+def tally(text: bytes, lang: str, tables: Tables, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array | None]]:
+    """Keys, counts and text of phrases in one stretch all of whose parts the proposal has.
+
+    Phrases that it brings in come by key, those that the last pass brought in and found frequent with
+    their text; so each phrase comes once by key and at most once as text. The first pass also gives
+    the number of words, as phrase ''.
     """
     codes, words, on = _words(text)
     if not len(codes):
@@ -166,13 +194,12 @@ def tally(
     size, unused = len(words), np.uint64(64 - bits)
     makeup, hashes, counts = np.arange(size)[:, None], of_word, np.bincount(codes, minlength=size)
     keys = hashes >> unused
-    inside = has(now, keys)
-    # of distinct phrases: whether `before` had all parts, and the phrase as well
-    tested = np.full(size, before is not None)
-    passed = tested & has(before, keys) if before is not None else tested
-    if before is None and spelled:
+    before, older = _Seen(tables.before), _Seen(tables.older)
+    tested, earlier = before.words(keys), older.words(keys)
+    if tables.before is None:
         yield keys[:1], np.array([len(codes)]), pa.array([""], pa.large_string())
     # the number of the phrase that begins at each place, -1 where it isn't proposed
+    inside = has(tables.now, keys)
     at = np.where(inside[codes], codes, -1)
     for k in range(1, LONGEST + 1):
         if k > 1:
@@ -185,22 +212,19 @@ def tally(
             makeup = np.column_stack([makeup[first], last])
             hashes = _joined_hash(hashes[first], of_word[last])
             keys = hashes >> unused
-            inside = has(now, keys)
-            if before is None:
-                tested = passed = np.zeros(len(kinds), dtype=bool)
-            else:
-                some_place = np.zeros(len(kinds), dtype=np.int64)
-                some_place[numbers] = places
-                tested = passed[first] & passed[at[some_place + 1]]
-                passed = tested & has(before, keys)
+            some_place = np.zeros(len(kinds), dtype=np.int64)
+            some_place[numbers] = places
+            rest = at[some_place + 1]
+            tested, earlier = before.longer(keys, first, rest), older.longer(keys, first, rest)
+            inside = has(tables.now, keys)
             at = np.full(len(codes), -1)
             at[places] = np.where(inside[numbers], numbers, -1)
-        known = inside & ~passed
-        if spelled and known.any():
-            parts = [words.take(pa.array(makeup[known, j])) for j in range(k)]
-            yield keys[known], counts[known], pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-        border = ~inside & ~tested
-        yield keys[border], counts[border], None
+        if tables.confirmed is not None:
+            found = tested & ~earlier & has(tables.confirmed, keys)
+            if found.any():
+                parts = [words.take(pa.array(makeup[found, j])) for j in range(k)]
+                yield keys[found], counts[found], pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
+        yield keys[~tested], counts[~tested], None
 
 
 def _buckets(keys: np.ndarray) -> np.ndarray:
@@ -240,16 +264,15 @@ def _with_no_lists(rows: pa.Table) -> list[pa.RecordBatch]:
     return rows.append_column("lows", pa.nulls(len(rows), pa.list_(pa.int32()))).combine_chunks().to_batches()
 
 
-def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None = None, spelled: bool = True) -> DataFrame:
+def count(texts: DataFrame, tables: Tables) -> DataFrame:
     """Whole-table counts of the phrases that `tally` counts; texts has lang and text, no nulls.
 
-    bucket, low, n for the border; bucket, lang, phrase, n for the others.
+    bucket, low, n by key; bucket, lang, phrase, n as text. The tables are sent ones.
     """
     bits = key_bits(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = _opened(now_sent.value)
-        before = _opened(before_sent.value) if before_sent else None
+        opened = Tables(*[_opened(t.value) if t else None for t in tables])
         held: dict[str, list[bytes]] = {}
         size = 0
         sums: list[pa.Table] = []
@@ -259,7 +282,7 @@ def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None =
             while held:
                 lang, parts = held.popitem()
                 # texts are apart like pieces; lower() of bytes changes A-Z alone
-                for keys, counts, phrases in tally(b".".join(parts).lower(), lang, now, before, bits, spelled):
+                for keys, counts, phrases in tally(b".".join(parts).lower(), lang, opened, bits):
                     if phrases is None:
                         border.append((keys, counts))
                     else:
@@ -290,12 +313,6 @@ def count(texts: DataFrame, now_sent: Broadcast, before_sent: Broadcast | None =
     return unpacked.groupBy("bucket", "low", "lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = work_dir(df.sparkSession, f"phrases-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def closed(texts: DataFrame, table: np.ndarray, support: int, spelled: bool = True) -> tuple[np.ndarray, list[DataFrame]]:
     """The table of all phrases with at least `support`, and (lang, phrase, n) of them if `spelled`.
 
@@ -303,25 +320,29 @@ def closed(texts: DataFrame, table: np.ndarray, support: int, spelled: bool = Tr
     of words of a language.
     """
     spark = texts.sparkSession
-    found, before, now = [], None, sent(spark, table)
+    found, tables = [], Tables(sent(spark, table))
     while True:
-        rows = _stored(count(texts, now, before, spelled).filter((F.col("phrase") == "") | (F.col("n") >= support)), "counts")
+        rows = stored(count(texts, tables).filter((F.col("phrase") == "") | (F.col("n") >= support)), "phrases")
         found.append(rows.filter("phrase is not null").select("lang", "phrase", "n"))
-        if before:
-            before.destroy()
-        failures = rows.filter("phrase is null")
-        if failures.isEmpty():
-            now.destroy()
+        frequent_keys = rows.filter("phrase is null")
+        for done in (tables.older, tables.confirmed):
+            if done:
+                done.destroy()
+        if frequent_keys.isEmpty():
+            for done in (tables.now, tables.before):
+                if done:
+                    done.destroy()
             return table, found
-        table = with_phrases(table, failures)
-        before, now = now, sent(spark, table)
+        confirmed = with_phrases(np.zeros_like(table), frequent_keys)
+        table = table | confirmed
+        tables = Tables(sent(spark, table), tables.now, tables.before, sent(spark, confirmed) if spelled else None)
 
 
 def frequent(docs: DataFrame, support: int = SUPPORT, text: str = "text", lang: str = "lang", sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
     """(lang, words, phrase, n) of all phrases with at least `support`; 0 words stand for a language's total."""
     texts = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
     drawn = texts.filter(F.pmod(F.xxhash64("lang", "text", F.monotonically_increasing_id()), F.lit(sample)) == 0)
-    proposal, _ = closed(_stored(drawn, "sample"), empty_table(bits), SAMPLE_SUPPORT, spelled=False)
+    proposal, _ = closed(stored(drawn, "sample"), empty_table(bits), SAMPLE_SUPPORT, spelled=False)
     _, found = closed(texts, proposal, support)
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     # a language's number of words may come in parts, by the words whose hash they were dealt by
