@@ -84,16 +84,20 @@ def empty_table(bits: int = BITS) -> np.ndarray:
     return np.zeros(1 << (bits - 6), dtype=np.uint64)
 
 
-def _positions(keys: np.ndarray, slots: int) -> Iterator[np.ndarray]:
-    """Numbers of a phrase's bits in a table of `slots` 64-bit words, a power of two."""
-    for probe in PROBES:
-        yield (keys * probe) >> np.uint64(64 - 5 - slots.bit_length())
+def _position(keys: np.ndarray, probe: np.uint64, slots: int) -> np.ndarray:
+    """Number of one of a phrase's bits in a table of `slots` 64-bit words, a power of two."""
+    return (keys * probe) >> np.uint64(64 - 5 - slots.bit_length())
 
 
 def has(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    found = np.ones(len(keys), dtype=bool)
-    for at in _positions(keys, len(table)):
-        found &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    found = np.zeros(len(keys), dtype=bool)
+    left = None
+    for probe in PROBES:
+        # most keys of a border miss at the first bit
+        at = _position(keys if left is None else keys[left], probe, len(table))
+        hit = np.flatnonzero((table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1))
+        left = hit if left is None else left[hit]
+    found[left] = True
     return found
 
 
@@ -105,7 +109,9 @@ def with_phrases(table: np.ndarray, phrases: DataFrame) -> np.ndarray:
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(slots, dtype=np.uint64)
         for batch in batches:
-            for at in _positions(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), slots):
+            keys = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            for probe in PROBES:
+                at = _position(keys, probe, slots)
                 np.bitwise_or.at(own, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
         at = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(own[at].view(np.int64))], names=["at", "bits"])
@@ -148,7 +154,7 @@ def _words(text: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     table = words.dictionary_encode()
     breaks = np.cumsum(kinds == 2, dtype=np.int32)[starts]
     on = np.append(breaks[1:] == breaks[:-1], False)[: len(starts)]
-    return table.indices.to_numpy(zero_copy_only=False).astype(np.int64), table.dictionary, on
+    return table.indices.to_numpy(zero_copy_only=False), table.dictionary, on
 
 
 class Tables(NamedTuple):
@@ -192,7 +198,7 @@ def tally(text: bytes, lang: str, tables: Tables, bits: int) -> Iterator[tuple[n
     seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "replace"))
     of_word = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
     size, unused = len(words), np.uint64(64 - bits)
-    makeup, hashes, counts = np.arange(size)[:, None], of_word, np.bincount(codes, minlength=size)
+    hashes, counts = of_word, np.bincount(codes, minlength=size).astype(np.int32)
     keys = hashes >> unused
     before, older = _Seen(tables.before), _Seen(tables.older)
     tested, earlier = before.words(keys), older.words(keys)
@@ -200,29 +206,33 @@ def tally(text: bytes, lang: str, tables: Tables, bits: int) -> Iterator[tuple[n
         yield keys[:1], np.array([len(codes)]), pa.array([""], pa.large_string())
     # the number of the phrase that begins at each place, -1 where it isn't proposed
     inside = has(tables.now, keys)
-    at = np.where(inside[codes], codes, -1)
+    at = np.where(inside[codes], codes, np.int32(-1))
+    some_place = None
     for k in range(1, LONGEST + 1):
         if k > 1:
             both = (at[:-1] >= 0) & (at[1:] >= 0)
             # longer phrases overlap, so they share a piece
             places = np.flatnonzero(both & on[:-1] if k == 2 else both)
-            numbers, kinds = pd.factorize(at[places] * size + codes[places + k - 1])
-            counts = np.bincount(numbers, minlength=len(kinds))
-            first, last = kinds // size, kinds % size
-            makeup = np.column_stack([makeup[first], last])
+            numbers, kinds = pd.factorize(at[places].astype(np.int64) * size + codes[places + k - 1])
+            numbers, places = numbers.astype(np.int32), places.astype(np.int32)
+            counts = np.bincount(numbers, minlength=len(kinds)).astype(np.int32)
+            first, last = (kinds // size).astype(np.int32), (kinds % size).astype(np.int32)
+            del both, kinds
             hashes = _joined_hash(hashes[first], of_word[last])
             keys = hashes >> unused
-            some_place = np.zeros(len(kinds), dtype=np.int64)
+            some_place = np.zeros(len(keys), dtype=np.int32)
             some_place[numbers] = places
             rest = at[some_place + 1]
             tested, earlier = before.longer(keys, first, rest), older.longer(keys, first, rest)
             inside = has(tables.now, keys)
-            at = np.full(len(codes), -1)
-            at[places] = np.where(inside[numbers], numbers, -1)
+            at.fill(-1)
+            at[places] = np.where(inside[numbers], numbers, np.int32(-1))
+            del numbers, places, first, last, rest
         if tables.confirmed is not None:
             found = tested & ~earlier & has(tables.confirmed, keys)
             if found.any():
-                parts = [words.take(pa.array(makeup[found, j])) for j in range(k)]
+                begins = None if some_place is None else some_place[found]
+                parts = [words.take(pa.array(np.flatnonzero(found) if begins is None else codes[begins + j])) for j in range(k)]
                 yield keys[found], counts[found], pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
         yield keys[~tested], counts[~tested], None
 
@@ -242,9 +252,11 @@ def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatc
     keys, counts = (np.concatenate(parts) for parts in zip(*held))
     held.clear()
     order = np.argsort(keys)
-    keys = keys[order]
+    keys, counts = keys[order], counts[order]
     starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else order
-    keys, counts = keys[starts], np.add.reduceat(counts[order], starts) if len(starts) else counts
+    del order
+    keys, counts = keys[starts], np.add.reduceat(counts, starts, dtype=np.int64) if len(starts) else counts
+    del starts
     for power in range(int(counts.max(initial=0)).bit_length()):
         own = keys[(counts >> power) & 1 == 1]
         buckets = _buckets(own)
@@ -308,7 +320,9 @@ def count(texts: DataFrame, tables: Tables) -> DataFrame:
         if sums:
             yield from _with_no_lists(_summed(sums))
 
-    dealt = texts.select("lang", "text").mapInArrow(run, ROWS).repartition("bucket")
+    # a number of partitions that stays: lists are small, but what they unpack to is not
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = texts.select("lang", "text").mapInArrow(run, ROWS).repartition(partitions, "bucket")
     unpacked = dealt.select("bucket", "lang", "phrase", "n", F.explode_outer("lows").alias("low"))
     return unpacked.groupBy("bucket", "low", "lang", "phrase").agg(F.sum("n").alias("n"))
 
