@@ -9,8 +9,10 @@ lines by it, and any text in it counts as a surge.
 
 One pass over the rows, whole pages, no shuffle. Defined results: a null or empty page has an empty
 text. Broken markup (elements never closed, tags left out) ends where the page or the next such
-element begins, never in lost text. Repeated rows stay; other columns stay, a column with a new
-column's name is replaced.
+element begins, never in lost text. A form, or an element whose class, id or role names it as boilerplate,
+stays where it holds nearly all text of the page; a compound name counts by its last words
+(`related-work` and `with-sidebar` name no boilerplate). Quoted attribute values may have any length.
+Repeated rows stay; other columns stay, a column with a new column's name is replaced.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ CONTAINER_SHARE = 0.2
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
-    r"((?:[^<>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}'|[\"'])*+)>|<[!?][^<>]*>",
+    r"((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^<>])*+)>|<[!?][^<>]*>",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
@@ -69,6 +71,20 @@ DROPPED_WORDS = set(
     """.split()
 )
 PAGE_WORDS = DROPPED_WORDS | {"header"}
+#: Fixed words that may follow one of these in a name and leave its sense: `ad-slot`, `sidebar-left`, not `related-work`.
+NEUTRAL = set(
+    """
+    area articles bar block body bottom box btn button buttons center column container content count desktop dismiss
+    expanded fixed float footer form group header heading holder icon icons inline inner item items label large left
+    line link links list main message mobile module more outer page pages panel policy post posts primary region right
+    root row secondary section site slot small sticky stories strip stub text thread title to toggle top unit wrap
+    wrapper zone
+    """.split()
+)
+#: Words before one of these that say what a part of the page has, not what it is: `with-sidebar`.
+HAVING = {"with", "has", "no", "without", "non"}
+#: Share of the page's text from which a form, or a part so named, is the page itself.
+WHOLE_SHARE = 0.9
 COMMENT_NAMES = {"comment", "comments", "reply", "teaser", "ad", "advert", "promo", "user-comment", "reader-comment"}
 
 
@@ -76,26 +92,40 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or "").strip("\"'") for m in ATTRIBUTE.finditer(text)}
 
 
-def _dropped(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is not part of the article; `inside`: it stands in `article` or `main`."""
+def _marks(names: str, marked: set[str]) -> bool:
+    """Whether a class name, id or role means one of the marked words."""
+    for one in names.split():
+        parts = [w.lower() for w in PARTS.findall(one)]
+        at = max((i for i, w in enumerate(parts) if w in marked), default=-1)
+        if at < 0 or not HAVING.isdisjoint(parts[:at]):
+            continue
+        if all(w in NEUTRAL or w.isdigit() or len(w) == 1 for w in parts[at + 1 :]):
+            return True
+    return False
+
+
+def _dropped(name: str, attributes: str, inside: bool) -> str:
+    """Why an element is not part of the article, "" if it is; `inside`: it stands in `article` or `main`.
+
+    "named" ones, and forms, are so by their name alone, and stay where they hold nearly the whole page.
+    """
     if name in DROPPED or (name == "header" and not inside):
-        return True
+        return "named" if name == "form" else "element"
     if name in ("html", "body", "main") or not attributes:
-        return False
+        return ""
     of = _attributes(attributes)
     if not of:
-        return False
+        return ""
     if "hidden" in of or of.get("aria-hidden", "").lower() == "true":
-        return True
+        return "hidden"
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", of.get("style", ""), re.I):
-        return True
+        return "hidden"
     if of.get("role", "").lower() in ("navigation", "banner", "search", "alert", "dialog", "form", "menu"):
-        return of["role"].lower() != "banner" or not inside
+        return "" if inside and of["role"].lower() == "banner" else "named"
     names = f"{of.get('class', '')} {of.get('id', '')} {of.get('role', '')}"
     if name in CONTAINERS:
-        return not COMMENT_NAMES.isdisjoint(names.lower().split())
-    words = {w.lower() for w in PARTS.findall(names)}
-    return not words.isdisjoint(DROPPED_WORDS if inside else PAGE_WORDS)
+        return "" if COMMENT_NAMES.isdisjoint(names.lower().split()) else "named"
+    return "named" if _marks(names, DROPPED_WORDS if inside else PAGE_WORDS) else ""
 
 
 def lines_of(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -124,6 +154,17 @@ def lines_of(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
         containers += [i for i, t in enumerate(tokens) if t[2] == name and not t[3]]
     containers.sort()
 
+    texts: list[int] = []
+
+    def whole(first, last):
+        """Whether these elements hold nearly all text of the page; sizes are taken once, when first asked."""
+        if not texts:
+            texts.append(0)
+            for (_, end, name, closing, _), after in zip(tokens, [*tokens[1:], (len(page),)]):
+                size = 0 if not closing and name in DROPPED - {"form"} else len(page[end : after[0]].strip())
+                texts.append(texts[-1] + size)
+        return texts[last] - texts[first] >= WHOLE_SHARE * texts[-1]
+
     lines, plain, within = [], [], []
     words, count = [], 0
 
@@ -155,7 +196,8 @@ def lines_of(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
             if i == skip_to:
                 gap()
             continue
-        if not closing and name not in VOID and i in ends and _dropped(name, rest, inside):
+        why = _dropped(name, rest, inside) if not closing and name not in VOID and i in ends else ""
+        if why and not (why == "named" and whole(i, ends[i])):
             after = bisect_left(containers, i + 1)
             holds = after < len(containers) and containers[after] < ends[i]
             if name in RAW or not holds or name in CONTAINERS:
@@ -207,7 +249,8 @@ def extract(page: str | None) -> str:
     lines, lengths, within = lines_of(page)
     whole = np.array([len(x) for x in lines], dtype=np.int64)
     if within.any() and whole[within].sum() >= CONTAINER_SHARE * whole[~within].sum():
-        kept = kept_lines(np.where(within, whole, 0), 1)
+        # a window looks ahead of the container
+        kept = kept_lines(np.where(within, whole, 0), 1) & within
     else:
         kept = kept_lines(lengths, SURGE)
         if not kept.any():  # nowhere enough text in a row: all that is not stripped

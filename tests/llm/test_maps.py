@@ -93,6 +93,56 @@ def test_main_text(name):
     assert html_extract.extract(page) == text
 
 
+TEXT = PARAGRAPH.strip()
+NAMED = {
+    "layout with a sidebar": (f'<div class="layout with-sidebar"><p>{TEXT}</p></div>', TEXT),
+    "word within a name": (f'<div class="post social-science"><p>{TEXT}</p></div>', TEXT),
+    "page in a form": (f'<body><form id="aspnetForm"><p>{TEXT}</p><p>{TEXT}</p></form></body>', f"{TEXT}\n{TEXT}"),
+    "compounds in an article": (
+        f'<article><p>{TEXT}</p><section id="related-work"><p>Work.</p></section><div class="search-and-rescue">Sea.</div>'
+        '<p class="notice-of-meeting">Noon.</p></article>',
+        f"{TEXT}\nWork.\nSea.\nNoon.",
+    ),
+    "parts of an article": (
+        f'<article><p>{TEXT}</p><div class="share-buttons">s</div><div class="ad-slot-3">a</div><form>f</form>'
+        f'<div class="comments"><p>{TEXT}</p></div></article>',
+        TEXT,
+    ),
+    "line before the article": (f"<p>before</p><article><p>{TEXT}</p></article>", TEXT),
+    "long attribute": ('<article><p data-x="' + "a>b<c " * 2000 + '">text</p></article>', "text"),
+    "stray quote": ('<article><p title=5">a</p><p>b "q" c</p></article>', 'a\nb "q" c'),
+}
+
+
+@pytest.mark.parametrize("name", NAMED)
+def test_names_and_attributes(name):
+    page, text = NAMED[name]
+    assert html_extract.extract(page) == text
+
+
+@given(st.lists(st.sampled_from([0, 0, 0, 5, 40, 90, 200]), max_size=30), st.sampled_from([1, 80]))
+def test_kept_lines_against_plain_rule(lengths, surge):
+    sums = [sum(lengths[i : i + html_extract.WINDOW]) for i in range(len(lengths))]
+    kept, on, last_dive = [], False, -1
+    for i, total in enumerate(sums):
+        if on and total == 0:
+            on, last_dive = False, i
+        elif not on and total >= surge and i != last_dive:
+            on = True
+        if on:
+            kept.append(i)
+    assert html_extract.kept_lines(np.array(lengths, dtype=np.int64), surge).nonzero()[0].tolist() == kept
+
+
+def test_pages_of_an_empty_table(spark):
+    assert html_extract.digest(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_long_page():
+    body = "".join(f"<p>{TEXT} {i}</p>" for i in range(20_000))
+    assert html_extract.extract(f"<body>{body}</body>").count("\n") == 19_999
+
+
 def test_lines_between_surge_and_dive():
     lengths = np.array([5, 0, 0, 0, 40, 60, 0, 30, 0, 0, 0, 5, 0, 0])
     assert html_extract.kept_lines(lengths, 80).nonzero()[0].tolist() == [3, 4, 5, 6, 7]
