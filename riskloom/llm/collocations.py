@@ -58,7 +58,7 @@ PROBES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
 #: Bytes of text that a task counts at a time; a longer text is counted alone.
 STRETCH = 3 << 20
 #: Rows of text and keys that a task holds before it sums them.
-HELD = 250_000
+HELD = 1_000_000
 HELD_KEYS = 1_000_000
 #: Slots in which each language's best rows are found before they meet.
 SLOTS = (64, 8)
