@@ -14,6 +14,7 @@ from .sources import tables
 from .streaming import sources
 
 KEY = "event_id"
+JOBS = ["kpi", "ml", "score", "evaluate", "graph", "federated", "stream", "score-stream", "replay", "dashboard"]
 
 
 def read_transactions(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -27,7 +28,7 @@ def read_transactions(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="riskloom", description=__doc__)
-    parser.add_argument("job", choices=["kpi", "ml", "graph", "federated", "stream", "replay", "dashboard"])
+    parser.add_argument("job", choices=JOBS)
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", required=True)
     parser.add_argument("--format", choices=["csv", "parquet"], default="csv")
@@ -39,18 +40,32 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--epsilon", type=float, help="privacy budget of all rounds of the federated job")
     parser.add_argument("--noise-seed", help="secret seed of the federated job's noise; needed with --epsilon")
     parser.add_argument("--interval", help='keep the stream running with a batch every so often, as "10 seconds"')
+    parser.add_argument("--model", help="saved model of the jobs score and score-stream")
+    parser.add_argument("--models", nargs="+", help="Parquet tables of predictions below --input that the evaluate job compares")
     args = parser.parse_args(argv)
+    if args.job in ("score", "score-stream") and not args.model:
+        parser.error("--model is needed")
+    if args.job == "evaluate" and not args.models:
+        parser.error("--models is needed")
     spark = get_session(f"riskloom-{args.job}", args.master)
 
-    if args.job == "stream":
+    if args.job in ("stream", "score-stream"):
         checkpoint = args.checkpoint or work_dir(spark, "stream-checkpoint")
-        jobs.streaming_job(spark, args.input, args.output, checkpoint, args.timeout, args.interval)
+        if args.job == "stream":
+            jobs.streaming_job(spark, args.input, args.output, checkpoint, args.timeout, args.interval)
+        else:
+            jobs.model_stream_job(spark, args.input, args.model, args.output, checkpoint, args.interval, args.timeout)
+        return
+    if args.job == "evaluate":
+        jobs.evaluate_job({name: spark.read.parquet(f"{args.input}/{name}") for name in args.models}, args.output)
         return
     df = read_transactions(spark, args.input, args.format)
     if args.job == "kpi":
         jobs.kpi_job(df, args.output, args.rel_err)
     elif args.job == "ml":
         jobs.ml_job(df, args.output, [KEY]).show()
+    elif args.job == "score":
+        jobs.score_job(df, args.model, args.output)
     elif args.job == "graph":
         jobs.graph_job(df, args.output, KEY)
     elif args.job == "federated":

@@ -78,6 +78,28 @@ def score_job(df: DataFrame, model_path: str, out: str) -> str:
     return write_parquet(scoring.apply_model(df, models.load_model(model_path)), f"{out}/scored")
 
 
+def evaluate_job(predictions: dict[str, DataFrame], out: str) -> str:
+    """Quality of scored tables, by name of their model: measures, curves, the models side by side.
+
+    The document has the best model, all measures and the class sizes of the first table.
+    """
+    results = []
+    for name, scored in predictions.items():
+        results.append(cut_lineage(evaluation.evaluate(scored, name)))
+        write_csv(evaluation.roc_pr_curve(scored, "fraud_probability"), f"{out}/curves/{name}")
+    quality = reduce(DataFrame.unionByName, results)
+    metrics = evaluation.long_metrics(quality)
+    if len(predictions) > 1:
+        write_csv(evaluation.compare_models(metrics, list(predictions)), f"{out}/model_comparison")
+    shares = kpis.class_shares(next(iter(predictions.values())))
+    document = evaluation.best_model(metrics).select(
+        F.struct("*").alias("best"),
+        _records(quality, ["model"]).scalar().alias("models"),
+        _records(shares, [LABEL]).scalar().alias("class_distribution"),
+    )
+    return write_json(document, f"{out}/evaluation")
+
+
 def model_stream_job(
     spark: SparkSession, source: str, model_path: str, out: str, checkpoint: str, interval: str | None = None, timeout: float | None = None
 ) -> bool:
