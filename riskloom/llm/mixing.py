@@ -259,8 +259,11 @@ def blocks(
 def mixed(docs: DataFrame, shards: int = SHARDS, seed: int = 20) -> DataFrame:
     """The mix as whole documents: columns of `docs` and `shard`, shuffled within each shard.
 
-    The document at a source's edge is in when at least half of it is due.
+    The document at a source's edge is in when at least half of it is due. An own column `shard` is
+    replaced, all others stay as they are.
     """
+    own = {c: f"_own_{c}" for c in ("size", "source_size", "target", "blocks") if c in docs.columns}
+    docs = docs.drop("shard").withColumnsRenamed(own)
     found = plan(docs, shards, seed)
     slices = max(1, -(-round(sum(s["target"] for s in found)) // (shards * SLICE_WORDS)))
     due = blocks(docs, shards, seed, found=found).select(*docs.columns, "size", F.explode("blocks").alias("_block"))
@@ -271,6 +274,7 @@ def mixed(docs: DataFrame, shards: int = SHARDS, seed: int = 20) -> DataFrame:
         .repartition(shards * slices, "shard", "_slice")
         .sortWithinPartitions("shard", "_place")
         .drop("_place", "_slice")
+        .withColumnsRenamed({hidden: c for c, hidden in own.items()})
     )
 
 

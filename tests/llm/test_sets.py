@@ -130,6 +130,17 @@ def test_mix_meets_targets(spark, sf):
     assert mixing.digest(docs.filter("false")).count() == 0
 
 
+def test_mix_keeps_columns_with_clashing_names(spark):
+    rows = [(i, "a word or two " * (i + 1), "s%d" % (i % 2), "x", -i, 0.5, "b") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, shard string, size long, target double, blocks string")
+    got = mixing.mixed(docs, shards=3)
+    assert got.columns == ["doc_id", "text", "source", "size", "target", "blocks", "shard"]
+    found = got.collect()
+    assert found and all(r["size"] == -r.doc_id and r.target == 0.5 and r.blocks == "b" and 0 <= r.shard < 3 for r in found)
+    plain = mixing.mixed(docs.select("doc_id", "text", "source"), shards=3).collect()
+    assert sorted((r.doc_id, r.shard) for r in found) == sorted((r.doc_id, r.shard) for r in plain)
+
+
 def test_mix_of_repeated_and_empty_rows(spark):
     rows = [(1, "a b c d", "en", "s", 1)] * 5 + [(2, "", "en", "t", 0), (3, None, "en", "t", 0)]
     got = mixing.digest(spark.createDataFrame(rows, DOCS)).collect()
