@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import ratio
 from ..session import cut_lineage, stored, work_dir
 from .proximity import density
+from .spread import KeyTable
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -100,26 +101,33 @@ def triangles(edges: DataFrame) -> DataFrame:
     """(id, triangles) for vertices in at least one triangle.
 
     Edges point from lower to higher degree. No vertex then has more than sqrt(2 * edges)
-    successors, hubs included, so successor lists stay small; each edge intersects two.
+    successors, hubs included, so successor lists stay small; each edge intersects two. What edges
+    learn of a hub, its degree or its list, goes to slots that the hub's edges are dealt to. Edges
+    whose ends can't close a triangle take no list along.
     """
     pairs = cut_lineage(undirected(edges))
-    degree = both_ways(pairs).groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
-    upward = (
-        pairs.join(degree.select(F.col("id").alias("src"), F.col("degree").alias("src_degree")), "src")
-        .join(degree.select(F.col("id").alias("dst"), F.col("degree").alias("dst_degree")), "dst")
-        .withColumn(
-            "rises", F.struct("src_degree", "src") < F.struct("dst_degree", "dst")
-        )
-        .select(
-            F.when(F.col("rises"), F.col("src")).otherwise(F.col("dst")).alias("src"),
-            F.when(F.col("rises"), F.col("dst")).otherwise(F.col("src")).alias("dst"),
+    known = KeyTable(both_ways(pairs).groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree")), ["id"], "degree")
+    ends = pairs
+    for end, other in (("src", "dst"), ("dst", "src")):
+        ends = known.join(ends.withColumn("id", F.col(end)), other, "degree").drop("id").withColumnRenamed("degree", f"{end}_degree")
+    rises = F.struct("src_degree", "src") < F.struct("dst_degree", "dst")
+    upward = cut_lineage(
+        ends.select(
+            F.when(rises, F.col("src")).otherwise(F.col("dst")).alias("src"),
+            F.when(rises, F.col("dst")).otherwise(F.col("src")).alias("dst"),
         )
     )
-    upward = cut_lineage(upward)
-    successors = upward.groupBy(F.col("src").alias("id")).agg(F.collect_list("dst").alias("next"))
+    # how many edges end in a vertex is how often its list is asked for there
+    entering = upward.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("entering"))
+    lists = upward.groupBy(F.col("src").alias("id")).agg(F.sort_array(F.collect_list("dst")).alias("next"))
+    following = cut_lineage(lists.join(entering, "id", "left").withColumn("entering", F.coalesce("entering", F.lit(0))))
+    # an edge and the list of its lower end, of two or more, come from that list alone
+    wide = following.filter(F.size("next") > 1).select(
+        F.col("id").alias("src"), F.explode("next").alias("dst"), F.col("next").alias("src_next")
+    )
+    upper = KeyTable(following.filter("entering > 0").withColumnRenamed("next", "dst_next"), ["id"], "entering")
     closed = (
-        upward.join(successors.select(F.col("id").alias("src"), F.col("next").alias("src_next")), "src")
-        .join(successors.select(F.col("id").alias("dst"), F.col("next").alias("dst_next")), "dst")
+        upper.join(wide.withColumn("id", F.col("dst")), "src", "dst_next")
         .select("src", "dst", F.array_intersect("src_next", "dst_next").alias("third"))
         .filter(F.size("third") > 0)
     )

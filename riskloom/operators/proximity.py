@@ -7,13 +7,12 @@ work stays about linear in the number of transactions, whatever the density.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio
 from .ordered import running
+from .spread import KeyTable
 
 # Fixed value: transactions less than this many seconds apart are linked.
 LINK_SECONDS = 3600
@@ -99,8 +98,9 @@ def time_groups(df: DataFrame, key: str, time: str, seconds: float = LINK_SECOND
 
 
 def _on_vertices(df: DataFrame, key: str, time: str, groups: DataFrame, *columns: str) -> DataFrame:
+    """Each transaction with the columns of its time; those of a crowded time are dealt over tasks."""
     at = df.select(key, _ticks(F.col(time)).alias("tick"))
-    return at.join(groups.select("tick", *columns), "tick").drop("tick")
+    return KeyTable(groups, ["tick"], "same").join(at, key, *columns).drop("tick")
 
 
 def time_neighbours(df: DataFrame, key: str, time: str, seconds: float = LINK_SECONDS) -> DataFrame:
@@ -157,6 +157,7 @@ def time_clustering(df: DataFrame, key: str, time: str, seconds: float = LINK_SE
         )
         .select(
             "tick",
+            "same",
             (others + left + right).alias("degree"),
             triangles.alias("triangles"),
         )
@@ -173,8 +174,8 @@ def time_components(df: DataFrame, key: str, time: str, seconds: float = LINK_SE
     """
     groups = time_groups(df, key, time, seconds)
     opens = F.when(F.col("left") == 0, F.struct(F.col("tick"), F.col("first_key")))
-    labelled = running(groups.select("tick", "left", "first_key"), ["tick"], maxes={"opened": opens})
-    named = labelled.select("tick", F.col("opened.first_key").alias("component"))
+    labelled = running(groups.select("tick", "same", "left", "first_key"), ["tick"], maxes={"opened": opens})
+    named = labelled.select("tick", "same", F.col("opened.first_key").alias("component"))
     return _on_vertices(df, key, time, named, "component")
 
 
@@ -202,12 +203,11 @@ def consecutive_links(
 def cell_links(df: DataFrame, key: str, cell: list[str]) -> DataFrame:
     """Transactions of one cell linked to the cell's first: a star in place of all pairs.
 
-    Also gives the degree each vertex has in the full graph, where the cell is a clique.
+    Also gives the degree each vertex has in the full graph, where the cell is a clique. A crowded
+    cell's transactions are dealt over tasks; null values are cells too.
     """
-    named = [F.col(c).alias(f"_of_{c}") for c in cell]
-    cells = df.groupBy(*named).agg(F.min(key).alias("hub"), F.count("*").alias("members"))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in cell])
-    return df.select(key, *cell).join(cells, same).select(
+    cells = df.groupBy(*cell).agg(F.min(key).alias("hub"), F.count("*").alias("members"))
+    return KeyTable(cells, cell, "members").join(df.select(key, *cell), key, "hub", "members").select(
         F.col(key).alias("src"), F.col("hub").alias("dst"), (F.col("members") - 1).alias("degree")
     )
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import graph, proximity
+from riskloom.operators.spread import KeyTable
 from riskloom.plans import catalog, queries_graph  # noqa: F401
 
 
@@ -281,3 +282,56 @@ def test_recounting_touched_vertices_equals_recounting_all(spark):
 def test_graphs_without_edges(spark):
     none = spark.createDataFrame([], "src long, dst long")
     assert graph.pagerank(none).count() == 0 and graph.label_propagation(none).count() == 0
+
+
+@pytest.fixture
+def plain_joins(spark):
+    """Joins that shuffle both sides and stay as planned, so that tasks can be told apart."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def spread_over_tasks(df):
+    held = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return len(held) == 4 and max(held) < 0.4 * sum(held)
+
+
+def test_one_crowded_time_or_cell_fills_all_tasks(spark, plain_joins):
+    burst = spark.range(4000).select("id", F.lit(7.0).alias("t"), F.lit(None).cast("int").alias("cell"))
+    near = proximity.time_neighbours(burst, "id", "t", WIDTH)
+    assert spread_over_tasks(near) and near.select("degree").distinct().collect() == [(3999,)]
+    links = proximity.cell_links(burst, "id", ["cell"])
+    assert spread_over_tasks(links) and links.select("dst", "degree").distinct().collect() == [(0, 3999)]
+    named = proximity.time_components(burst, "id", "t", WIDTH)
+    assert spread_over_tasks(named) and named.select("component").distinct().collect() == [(0,)]
+
+
+def test_rows_of_a_hot_key_are_dealt_and_others_stay(spark, plain_joins):
+    rows = spark.range(6000).select("id", F.when(F.col("id") < 3000, 1).when(F.col("id") < 3010, None).otherwise(F.col("id")).alias("k"))
+    known = KeyTable(rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top")), ["k"], "n")
+    assert known.hot.count() == 1
+    slots = {r["_slot"]: r["count"] for r in known.dealt(rows.filter("k = 1"), "id").groupBy("_slot").count().collect()}
+    assert max(slots.values()) < 100 and len(slots) > 50
+    got = known.join(rows, "id", "n", "top")
+    assert got.count() == 6000 and spread_over_tasks(got)
+    expected = {1: (3000, 2999), None: (10, 3009)} | {i: (1, i) for i in range(3010, 6000)}
+    assert {r.k: (r.n, r.top) for r in got.select("k", "n", "top").distinct().collect()} == expected
+
+
+def test_triangles_through_a_hub(spark):
+    rng = random.Random(8)
+    edges = [(0, i) for i in range(1, 1500)] + [(rng.randrange(1, 1500), rng.randrange(1, 1500)) for _ in range(1500)]
+    near = adjacency(edges)
+    got = {r.id: r.triangles for r in graph.triangles(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    expected = {v: triangles_at(near, v) for v in near if v}
+    assert {v: t for v, t in got.items() if v} == {v: t for v, t in expected.items() if t}
+    assert got[0] == sum(1 for a, b in {(min(e), max(e)) for e in edges} if a and a != b)
+
+
+def test_triangles_of_no_edges(spark):
+    assert graph.triangle_count(spark.createDataFrame([], "src long, dst long")).first().triangles == 0
