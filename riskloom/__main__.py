@@ -14,7 +14,7 @@ from .sources import tables
 from .streaming import sources
 
 KEY = "event_id"
-JOBS = ["kpi", "ml", "score", "evaluate", "graph", "federated", "stream", "score-stream", "replay", "dashboard"]
+JOBS = ["kpi", "ml", "score", "evaluate", "graph", "federated", "stream", "score-stream", "events", "replay", "dashboard"]
 
 
 def read_transactions(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -49,10 +49,12 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("--models is needed")
     spark = get_session(f"riskloom-{args.job}", args.master)
 
-    if args.job in ("stream", "score-stream"):
+    if args.job in ("stream", "score-stream", "events"):
         checkpoint = args.checkpoint or work_dir(spark, "stream-checkpoint")
         if args.job == "stream":
             jobs.streaming_job(spark, args.input, args.output, checkpoint, args.timeout, args.interval)
+        elif args.job == "events":
+            jobs.events_job(spark, args.input, args.output, checkpoint, args.timeout, args.interval)
         else:
             jobs.model_stream_job(spark, args.input, args.model, args.output, checkpoint, args.interval, args.timeout)
         return

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, evaluation, federated, kpis, models, proximity, sampling
-from ..schema import FEATURES, LABEL, TIME, feed_schema
+from ..schema import AMOUNT, FEATURES, KEYED_TRANSACTION_SCHEMA, LABEL, TIME, feed_schema
 from ..session import cut_lineage
+from ..sources.events import read_events
 from ..sources.tables import csv_columns, register_view, write_csv, write_json, write_parquet
 from ..streaming import scoring, sinks, sources
 from . import marts
@@ -156,6 +157,19 @@ def streaming_job(
     return sinks.run_to_end(sinks.fan_out(scored, out, checkpoint, interval is None, interval), timeout)
 
 
+def events_job(
+    spark: SparkSession, source: str, out: str, checkpoint: str, timeout: float | None = None, interval: str | None = None
+) -> bool:
+    """Transactions from a watched folder of JSON bodies, one a line, as the tables accepted and rejects.
+
+    Key, time and amount must be there; other fields may be missing. Empty lines are no bodies.
+    Without `interval` all present input is processed.
+    """
+    lines = spark.readStream.text(source).filter(F.trim("value") != "")
+    events = read_events(lines, KEYED_TRANSACTION_SCHEMA, "value", ["event_id", TIME, AMOUNT])
+    return sinks.run_to_end(sinks.accepted_and_rejects(events, out, checkpoint, interval is None, interval), timeout)
+
+
 def dashboard_job(df: DataFrame, quality: DataFrame, importance: DataFrame, predictions: DataFrame, out: str) -> str:
     """All dashboard tables as CSV, the overview as JSON too."""
     scored = scoring.apply_rules(df)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators.models import load_model, save_model
 from ..session import work_dir
-from ..sources.tables import parse_json_events, read_csv, read_table
+from ..sources.events import read_events
+from ..sources.tables import parse_json_events, read_csv, read_table, write_csv
 from ..sources.transactions import transaction_stream, transactions
 from ..streaming import scoring, sinks, sources, windows
 from . import oracle as o
@@ -14,6 +15,7 @@ from .catalog import query
 from .queries_learning import same_scores, trained
 
 BATCHES = 4
+FILES_PER_BATCH = 16
 SLIM = ["V1", "V3", "V4", "V7", "V10"]
 REPLAY_SCHEMA = (
     "event_id long, user_id long, Time double, V1 double, V3 double, V4 double, V7 double, V10 double, "
@@ -26,11 +28,10 @@ def _per_batch(table) -> int:
     return -(-table.count() // BATCHES)
 
 
-def replayed(spark, sf):
-    """The transactions as a stream of a few CSV files."""
-    table = transactions(spark, sf, SLIM)
-    path = sources.write_replay(table, work_dir(spark, "replay"), ["event_id"], _per_batch(table))
-    return sources.csv_stream(spark, path, REPLAY_SCHEMA)
+def csv_feed(spark, sf):
+    """The transactions as a stream of CSV files, one for each partition of the table."""
+    path = write_csv(transactions(spark, sf, SLIM), work_dir(spark, "feed"))
+    return sources.csv_stream(spark, path, REPLAY_SCHEMA, FILES_PER_BATCH)
 
 
 def scored_stream(spark, sf):
@@ -46,7 +47,7 @@ def _stored(spark, stream):
 
 @query("csv_stream_scan", f"WITH {o.tx(SLIM)} SELECT event_id, user_id, Time, {', '.join(SLIM)}, Amount, Class FROM tx")
 def _(spark, sf):
-    return _stored(spark, replayed(spark, sf)).drop("processing_time")
+    return _stored(spark, csv_feed(spark, sf)).drop("processing_time")
 
 
 @query(
@@ -217,3 +218,25 @@ def _(spark, sf):
 
     parsed = parse_json_events(event_stream(spark, sf), EVENT_BODY, "props")
     return _stored(spark, parsed).filter(F.col("_malformed").isNull()).select("k")
+
+
+@query(
+    "json_events_split",
+    "SELECT CASE WHEN event_type = 'error' THEN 'rejects' ELSE 'accepted' END AS output, "
+    "CASE WHEN event_type = 'error' THEN 'no JSON object' END AS reason, count(*) AS rows, "
+    "CAST(sum(CASE WHEN event_type <> 'error' THEN CAST(regexp_extract(props, '[0-9]+') AS BIGINT) END) AS BIGINT) AS total FROM events GROUP BY 1, 2",
+)
+def _(spark, sf):
+    from .queries_tables import EVENT_BODY
+
+    # bodies of errors arrive without their last character
+    cut = F.when(F.col("prediction") == 1, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    events = read_events(event_stream(spark, sf).select(cut.alias("body")), EVENT_BODY, required=["k"])
+    path = work_dir(spark, "json-events")
+    sinks.run_to_end(sinks.accepted_and_rejects(events, f"{path}/out", f"{path}/checkpoint"))
+    accepted, rejects = (spark.read.parquet(f"{path}/out/{name}/batch=*") for name in ("accepted", "rejects"))
+    usable = accepted.agg(F.count("*").alias("rows"), F.sum("k").alias("total"))
+    unusable = rejects.groupBy(F.col("_reason").alias("reason")).agg(F.count("*").alias("rows"))
+    return usable.select(F.lit("accepted").alias("output"), F.lit(None).cast("string").alias("reason"), "rows", "total").unionByName(
+        unusable.select(F.lit("rejects").alias("output"), "reason", "rows", F.lit(None).cast("long").alias("total"))
+    )

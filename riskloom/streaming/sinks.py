@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.kpis import batch_metrics
 from ..operators.sampling import cached
+from ..sources.events import split_events
 from .scoring import alerts_only, scored_output
 
 
@@ -116,6 +117,22 @@ def fan_out(
     return _start(scored.writeStream.foreachBatch(handle), checkpoint, until_done, interval)
 
 
+def accepted_and_rejects(
+    events: DataFrame, path: str, checkpoint: str, until_done: bool = True, interval: str | None = None
+) -> StreamingQuery:
+    """Usable events and rejects of `read_events` as two Parquet tables, from a single read of the source."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = cached(batch)
+        try:
+            for name, part in zip(("accepted", "rejects"), split_events(rows)):
+                part.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        finally:
+            rows.unpersist()
+
+    return _start(events.writeStream.foreachBatch(handle), checkpoint, until_done, interval)
+
+
 def updates_to_table(aggregated: DataFrame, path: str, checkpoint: str, until_done: bool = True) -> StreamingQuery:
     """Every changed row of an aggregate with its batch; `latest` gives the table as it stands.
 
