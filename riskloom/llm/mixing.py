@@ -74,18 +74,42 @@ def targets(sizes: list[int], weights=WEIGHTS, share: float = SHARE, limit: floa
     return out
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of n blocks drawn without replacement are good; exact for all sizes.
+
+    Every block is taken with the same chance, which leaves a random set of nearly n. To make it n,
+    what is too much is drawn from the set, or what lacks from the others, in the same way: a number
+    of about the square root of the one before. The last few are drawn one by one.
+    """
+    taken, sign = 0, 1
+    while n > 32:
+        if good + bad == n:
+            return taken + sign * good
+        chance = n / (good + bad)
+        own, other = int(rng.binomial(good, chance)), int(rng.binomial(bad, chance))
+        taken += sign * own
+        if own + other >= n:
+            good, bad, n, sign = own, other, own + other - n, -sign
+        else:
+            good, bad, n = good - own, bad - other, n - own - other
+    for _ in range(n):
+        hit = int(rng.integers(good + bad)) < good
+        taken += sign * hit
+        good, bad = good - hit, bad - (not hit)
+    return taken
+
+
 def _draw(rng: np.random.Generator, counts: np.ndarray, n: int) -> np.ndarray:
     """n of the blocks at random, without replacement, as counts per source."""
     total = int(counts.sum())
     if total < 10**9:
         return rng.multivariate_hypergeometric(counts, n, method="marginals")
-    # the generator's bound: draw on counts made smaller, then settle the rest source by source
-    unit = total // 10**8
-    small = counts // unit
-    drawn = rng.multivariate_hypergeometric(small, min(n // unit, int(small.sum())), method="marginals") * unit
-    for i in range(len(drawn)):
-        rest = n - int(drawn.sum())
-        drawn[i] += max(-drawn[i], min(rest, counts[i] - drawn[i]))
+    # the generator's bound: the same distribution source by source, each against all later ones
+    drawn = np.zeros_like(counts)
+    for i, own in enumerate(counts.tolist()):
+        total -= own
+        drawn[i] = hypergeometric(rng, own, total, n)
+        n -= int(drawn[i])
     return drawn
 
 

@@ -3,6 +3,7 @@
 import collections
 import gzip
 import hashlib
+import math
 import random
 
 import corpus_pipeline
@@ -104,6 +105,27 @@ def test_tree_keeps_quotas():
     assert got.sum(axis=0).tolist() == counts and got.sum(axis=1).max() - got.sum(axis=1).min() <= 1
     huge = mixing.split([3 * 10**9, 10**9, 5], 4, 1)
     assert huge.sum(axis=0).tolist() == [3 * 10**9, 10**9, 5] and huge.min() >= 0
+    assert huge.sum(axis=1).max() - huge.sum(axis=1).min() <= 1
+    assert (mixing.split([3 * 10**9, 10**9, 5], 4, 1) == huge).all()
+
+
+@pytest.mark.parametrize("good, bad, n", [(40, 60, 50), (300, 5, 200), (7, 900, 45), (1, 99, 99), (50, 0, 40), (0, 50, 40)])
+def test_draws_are_hypergeometric(good, bad, n):
+    rng = np.random.default_rng(4)
+    got = np.bincount([mixing.hypergeometric(rng, good, bad, n) for _ in range(20_000)], minlength=good + 1)
+    ways = [math.comb(good, k) * math.comb(bad, n - k) / math.comb(good + bad, n) if n >= k else 0 for k in range(good + 1)]
+    assert len(got) == good + 1 and np.abs(got / 20_000 - ways).sum() < 0.06
+
+
+@pytest.mark.parametrize("good, bad, n", [(10**9, 3 * 10**9, 2 * 10**9), (5 * 10**12, 10**12, 10**12), (10**6, 10**13, 10**12)])
+def test_large_draws_have_mean_and_spread(good, bad, n):
+    rng = np.random.default_rng(9)
+    got = np.array([mixing.hypergeometric(rng, good, bad, n) for _ in range(4000)], dtype=float)
+    total = good + bad
+    mean, deviation = n * good / total, math.sqrt(n * (good / total) * (bad / total) * ((total - n) / (total - 1)))
+    assert abs(got.mean() - mean) < 5 * deviation / math.sqrt(4000)
+    assert got.std() == pytest.approx(deviation, rel=0.07)
+    assert got.min() >= max(0, n - bad) and got.max() <= min(good, n)
 
 
 def test_mix_meets_targets(spark, sf):
