@@ -13,7 +13,9 @@ from ..schema import AMOUNT, FEATURES, KEYED_TRANSACTION_SCHEMA, LABEL, TIME, fe
 from ..session import cut_lineage
 from ..sources.events import read_events
 from ..sources.tables import csv_columns, register_view, write_csv, write_json, write_parquet
+from ..sources.transactions import EPOCH
 from ..streaming import scoring, sinks, sources
+from ..streaming.windows import merged_windows, partial_windows
 from . import marts
 
 
@@ -114,6 +116,12 @@ def model_stream_job(
     return sinks.run_to_end(sinks.to_parquet(scored, f"{out}/scored", checkpoint, interval is None, interval), timeout)
 
 
+def _timed(df: DataFrame) -> DataFrame:
+    """Transactions with the time of their event; the feed counts seconds from `EPOCH`."""
+    origin = F.unix_micros(F.lit(EPOCH).cast("timestamp"))
+    return df.withColumn("event_time", F.timestamp_micros(origin + F.round(F.col(TIME) * 1_000_000).cast("long")))
+
+
 def fit_forest(df: DataFrame, keys: list[str], ratio: float = 2.0) -> tuple[PipelineModel, DataFrame]:
     """A random forest fitted on the balanced training side, and all held-out rows."""
     training, test = sampling.train_test_split(df, keys)
@@ -153,7 +161,7 @@ def streaming_job(
     With `interval` (as "10 seconds") it keeps watching, until `timeout` seconds have passed or for ever.
     """
     schema = feed_schema(csv_columns(spark, source))
-    scored = scoring.apply_rules(sources.csv_stream(spark, source, schema))
+    scored = _timed(scoring.apply_rules(sources.csv_stream(spark, source, schema)))
     return sinks.run_to_end(sinks.fan_out(scored, out, checkpoint, interval is None, interval), timeout)
 
 
@@ -180,4 +188,5 @@ def dashboard_job(df: DataFrame, quality: DataFrame, importance: DataFrame, pred
     write_csv(marts.feature_importance(importance), f"{out}/feature_importance")
     write_csv(marts.confusion_table(predictions), f"{out}/confusion_matrix")
     write_csv(marts.recent_alerts(scored), f"{out}/recent_alerts")
+    write_csv(merged_windows(partial_windows(_timed(scored))).orderBy("window_start"), f"{out}/fraud_over_time")
     return out

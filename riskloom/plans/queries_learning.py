@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import key_hash
@@ -118,9 +119,9 @@ def _(spark, sf):
 
 
 def _qualities(spark, sf):
-    kinds = ["RandomForest", "LogisticRegression"]
+    kinds = ["RandomForest", "LogisticRegression", "GradientBoosted"]
     rows = [evaluation.long_metrics(evaluation.evaluate(predictions(spark, sf, k), k)) for k in kinds]
-    return rows[0].unionByName(rows[1]), kinds
+    return reduce(DataFrame.unionByName, rows), kinds
 
 
 @query("model_comparison")

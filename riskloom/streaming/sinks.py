@@ -12,6 +12,7 @@ from ..operators.kpis import batch_metrics
 from ..operators.sampling import cached
 from ..sources.events import split_events
 from .scoring import alerts_only, scored_output
+from .windows import merged_windows, partial_windows
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, until_done: bool, interval: str | None = None) -> StreamingQuery:
@@ -100,7 +101,8 @@ def fan_out(
 ) -> StreamingQuery:
     """Metrics, predictions and alerts of each batch from a single read of the source.
 
-    One query serves all three outputs, so they always describe the same rows.
+    One query serves all outputs, so they always describe the same rows. Rows with an `event_time`
+    also give the batch's share of the minutes, for `read_windows`.
     """
     metrics = write_batch_metrics(f"{path}/metrics")
 
@@ -111,12 +113,28 @@ def fan_out(
             output = scored_output(rows)
             output.write.mode("overwrite").parquet(f"{path}/predictions/batch={batch_id}")
             alerts_only(output).write.mode("overwrite").option("header", True).csv(f"{path}/alerts/batch={batch_id}")
+            if "event_time" in rows.columns:
+                _write_windows(rows, path, batch_id)
         finally:
             rows.unpersist()
 
     return _start(scored.writeStream.foreachBatch(handle), checkpoint, until_done, interval)
 
 
+def _write_windows(batch: DataFrame, path: str, batch_id: int) -> None:
+    partial_windows(batch).write.mode("overwrite").parquet(f"{path}/windows/batch={batch_id}")
+
+
+def windows_to_table(scored: DataFrame, path: str, checkpoint: str, until_done: bool = True) -> StreamingQuery:
+    """What each batch adds to its minutes; a repeated batch replaces what it wrote before."""
+    return _start(scored.writeStream.foreachBatch(lambda batch, n: _write_windows(batch, path, n)), checkpoint, until_done)
+
+
+def read_windows(spark: SparkSession, path: str) -> DataFrame:
+    """All minutes as they stand: transactions, alerts and latency, whenever their rows came in."""
+    return merged_windows(spark.read.parquet(f"{path}/windows/batch=*"))
+
+
 def accepted_and_rejects(
     events: DataFrame, path: str, checkpoint: str, until_done: bool = True, interval: str | None = None
 ) -> StreamingQuery:

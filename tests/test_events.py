@@ -1,11 +1,12 @@
 """JSON bodies with drifting fields, as a batch and as a job over a watched folder."""
 
 import json
+from datetime import datetime, timedelta
 
 from riskloom.__main__ import main
 from riskloom.schema import KEYED_TRANSACTION_SCHEMA
 from riskloom.sources.events import read_events, split_events
-from riskloom.streaming import scoring
+from riskloom.streaming import scoring, sinks, windows
 
 USABLE = [
     {"event_id": 1, "user_id": 7, "Time": 3.5, "Amount": 10, "Class": 0, "V1": -1.25},
@@ -60,3 +61,19 @@ def test_job_goes_on_where_it_stopped(spark, tmp_path):
     assert rows(accepted) == EXPECTED and accepted.count() == 3
     assert {r._body: r._reason for r in spark.read.parquet(f"{out}/rejects/batch=*").collect()} == UNUSABLE
     assert scoring.apply_rules(accepted).count() == 3
+
+
+def test_minutes_add_up_whenever_rows_come(spark, tmp_path):
+    """Rows far behind the others count too, and rows without a time in no minute."""
+    start = datetime(2024, 1, 1)
+    batches = [[(0, 0, 1), (59, 1, 3), (3600, 1, 2)], [(30, 1, 5), (None, 1, 0)], [(7200, 0, 0), (61, 0, 4)]]
+    schema = "event_time timestamp, prediction int, processing_time timestamp"
+    for number, batch in enumerate(batches):
+        rows = [(at and start + timedelta(seconds=s), p, start + timedelta(seconds=(s or 0) + wait)) for s, p, wait in batch for at in [s is not None]]
+        spark.createDataFrame([(e or None, p, a) for e, p, a in rows], schema).coalesce(1).write.json(f"{tmp_path}/in{number}")
+        stream = spark.readStream.schema(schema).json(f"{tmp_path}/in*")
+        sinks.run_to_end(sinks.windows_to_table(stream, f"{tmp_path}/out", f"{tmp_path}/c"))
+    got = {(r.window_start - start).seconds: (r.transactions, r.alerts, round(r.avg_latency, 3), r.max_latency) for r in sinks.read_windows(spark, f"{tmp_path}/out").collect()}
+    assert got == {0: (3, 2, 3.0, 5.0), 60: (1, 0, 4.0, 4.0), 3600: (1, 1, 2.0, 2.0), 7200: (1, 0, 0.0, 0.0)}
+    plain = windows.merged_windows(windows.partial_windows(spark.createDataFrame([], schema).drop("processing_time")))
+    assert plain.columns == ["window_start", "transactions", "alerts"] and plain.count() == 0
