@@ -102,32 +102,38 @@ def triangles(edges: DataFrame) -> DataFrame:
 
     Edges point from lower to higher degree. No vertex then has more than sqrt(2 * edges)
     successors, hubs included, so successor lists stay small; each edge intersects two. What edges
-    learn of a hub, its degree or its list, goes to slots that the hub's edges are dealt to. Edges
-    whose ends can't close a triangle take no list along.
+    learn of a hub, its degree or its list, goes to slots that the hub's edges are dealt to. Lists
+    go from upper to lower ends, so that only edges whose upper end has successors move one.
     """
-    pairs = cut_lineage(undirected(edges))
-    known = KeyTable(both_ways(pairs).groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree")), ["id"], "degree")
+    pairs = stored(undirected(edges), "pairs")
+    return _triangles(pairs, _degree_table(pairs))
+
+
+def _degree_table(pairs: DataFrame) -> KeyTable:
+    """Degrees from edges that `undirected` gave."""
+    return KeyTable(both_ways(pairs).groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree")), ["id"], "degree")
+
+
+def _triangles(pairs: DataFrame, known: KeyTable) -> DataFrame:
     ends = pairs
     for end, other in (("src", "dst"), ("dst", "src")):
         ends = known.join(ends.withColumn("id", F.col(end)), other, "degree").drop("id").withColumnRenamed("degree", f"{end}_degree")
     rises = F.struct("src_degree", "src") < F.struct("dst_degree", "dst")
-    upward = cut_lineage(
-        ends.select(
-            F.when(rises, F.col("src")).otherwise(F.col("dst")).alias("src"),
-            F.when(rises, F.col("dst")).otherwise(F.col("src")).alias("dst"),
-        )
+    upward = ends.select(
+        F.when(rises, F.col("src")).otherwise(F.col("dst")).alias("src"),
+        F.when(rises, F.col("dst")).otherwise(F.col("src")).alias("dst"),
     )
+    following = stored(upward.groupBy("src").agg(F.collect_list("dst").alias("src_next")), "following")
     # how many edges end in a vertex is how often its list is asked for there
-    entering = upward.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("entering"))
-    lists = upward.groupBy(F.col("src").alias("id")).agg(F.sort_array(F.collect_list("dst")).alias("next"))
-    following = cut_lineage(lists.join(entering, "id", "left").withColumn("entering", F.coalesce("entering", F.lit(0))))
-    # an edge and the list of its lower end, of two or more, come from that list alone
-    wide = following.filter(F.size("next") > 1).select(
-        F.col("id").alias("src"), F.explode("next").alias("dst"), F.col("next").alias("src_next")
-    )
-    upper = KeyTable(following.filter("entering > 0").withColumnRenamed("next", "dst_next"), ["id"], "entering")
+    entering = following.select(F.explode("src_next").alias("id")).groupBy("id").agg(F.count("*").alias("entering"))
+    lists = following.select(F.col("src").alias("id"), F.col("src_next").alias("dst_next"))
+    upper = KeyTable(lists.join(entering, "id"), ["id"], "entering")
+    wide = following.filter(F.size("src_next") > 1)
+    asking = wide.select("src", F.explode("src_next").alias("id"))
+    told = upper.join(asking, "src", "dst_next").withColumnRenamed("id", "dst")
+    # the lists told are many, and need no order; a lower end has one list, of bounded length
     closed = (
-        upper.join(wide.withColumn("id", F.col("dst")), "src", "dst_next")
+        told.join(wide.hint("shuffle_hash"), "src")
         .select("src", "dst", F.array_intersect("src_next", "dst_next").alias("third"))
         .filter(F.size("third") > 0)
     )

@@ -1,4 +1,5 @@
 import random
+import re
 from itertools import combinations
 
 import pytest
@@ -335,3 +336,12 @@ def test_triangles_through_a_hub(spark):
 
 def test_triangles_of_no_edges(spark):
     assert graph.triangle_count(spark.createDataFrame([], "src long, dst long")).first().triangles == 0
+
+
+def test_lists_of_lower_ends_do_not_go_along_with_edges(spark, plain_joins):
+    edges = spark.createDataFrame(list(combinations(range(12), 2)), "src long, dst long")
+    for table in (graph.triangles(edges), graph.clustering_coefficients(edges)):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        # an exploded list that stays in the row has no number among the columns left out
+        assert re.findall(r"Generate explode\(\w+#\d+\), \[\d+\]", plan) == re.findall(r"Generate explode\(\w+#\d+\), \[\d*\]", plan) != []
+        assert {r.triangles for r in table.collect()} == {55}
