@@ -55,8 +55,8 @@ def scale_by_party(
     """
     marked = df.withColumn("is_train", split_side(keys or ["event_id"], train))
     stats = party_statistics(marked.filter("is_train"), features, party)
-    # one row per party; joined by whatever its size allows
-    per_party = stats.withColumnRenamed(party, "_party")
+    # one row per party, sent to all tasks: joined by party, all rows of a party would meet in one task
+    per_party = F.broadcast(stats.withColumnRenamed(party, "_party"))
     scaled = {}
     for c in features:
         away = F.col(c) - F.col(f"_{c}.mean")

@@ -163,3 +163,16 @@ def test_scaling_uses_training_rows_of_the_own_party(party_rows):
     scaled = federated.scale_by_party(party_rows, ["a", "b"]).filter("is_train")
     for r in scaled.groupBy("bank").agg(F.avg("a").alias("m"), F.stddev("b").alias("s")).collect():
         assert r.m == pytest.approx(0, abs=1e-9) and r.s == pytest.approx(1)
+
+
+def test_rows_of_one_party_stay_in_many_tasks(spark):
+    rows = spark.range(4000).select(F.col("id").alias("event_id"), F.lit("A").alias("bank"), F.col("id").cast("double").alias("V1"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    scaled = federated.scale_by_party(rows.repartition(8), ["V1"])
+    held = [r["count"] for r in scaled.groupBy(F.spark_partition_id()).count().collect()]
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    assert sum(held) == 4000 and max(held) < 0.4 * sum(held)
