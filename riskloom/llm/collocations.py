@@ -60,6 +60,8 @@ STRETCH = 3 << 20
 #: Rows of text and keys that a task holds before it sums them.
 HELD = 1_000_000
 HELD_KEYS = 1_000_000
+#: Rows of text that a task sends at a time.
+SENT = 1 << 16
 #: Slots in which each language's best rows are found before they meet.
 SLOTS = (64, 8)
 
@@ -268,12 +270,13 @@ def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatc
 
 
 def _summed(held: list[pa.Table]) -> pa.Table:
-    rows = pa.concat_tables(held).group_by(["bucket", "lang", "phrase"]).aggregate([("n", "sum")])
+    # on one thread: each further one would hold the rows in a table of its own
+    rows = pa.concat_tables(held).group_by(["bucket", "lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
     return rows.rename_columns({"n_sum": "n"}).select(["bucket", "lang", "phrase", "n"])
 
 
 def _with_no_lists(rows: pa.Table) -> list[pa.RecordBatch]:
-    return rows.append_column("lows", pa.nulls(len(rows), pa.list_(pa.int32()))).combine_chunks().to_batches()
+    return rows.append_column("lows", pa.nulls(len(rows), pa.list_(pa.int32()))).combine_chunks().to_batches(max_chunksize=SENT)
 
 
 def count(texts: DataFrame, tables: Tables) -> DataFrame:
@@ -305,6 +308,8 @@ def count(texts: DataFrame, tables: Tables) -> DataFrame:
                 sums[:] = [_summed(sums)]
                 if len(sums[0]) >= HELD // 2:
                     yield from _with_no_lists(sums.pop())
+                # what the sums took goes back to the system, which other tasks share
+                pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):

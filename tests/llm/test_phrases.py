@@ -6,6 +6,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import differences
 
@@ -120,3 +121,12 @@ def test_empty_tables_and_extra_columns(spark):
     docs = [("a b c " * 50, "en")]
     table = spark.createDataFrame([("a b c " * 50, "en", 1, "x", 2)], "text string, lang string, n int, phrase string, words int")
     assert sorted(map(tuple, co.digest(table).collect())) == brute(docs, 2000, 30)
+
+
+def test_sums_of_text_are_sent_in_bounded_batches():
+    rows = co.SENT + 5
+    part = pa.table({"bucket": np.zeros(rows, dtype=np.int32), "lang": ["x"] * rows, "phrase": [f"p {i}" for i in range(rows)], "n": np.ones(rows, dtype=np.int64)})
+    summed = co._summed([part, part])
+    batches = co._with_no_lists(summed)
+    assert max(b.num_rows for b in batches) <= co.SENT and sum(b.num_rows for b in batches) == rows
+    assert set(summed.column("n").to_pylist()) == {2}
