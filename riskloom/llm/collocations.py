@@ -61,6 +61,8 @@ STRETCH = 3 << 20
 #: Rows of text and keys that a task holds before it sums them.
 HELD = 1_000_000
 HELD_KEYS = 1_000_000
+#: Parts, by bucket, in which a task sums its rows of text.
+PARTS = 8
 #: Rows of text that a task sends at a time.
 SENT = 1 << 16
 #: Slots in which each language's best rows are found before they meet.
@@ -73,11 +75,18 @@ _CLASS[list(PIECE_ENDS)] = 2
 
 ROWS = "bucket int, lang string, phrase string, n long, lows array<int>"
 LOW_BITS = 32
+#: Tasks that sum unpacked hashes, as a multiple of the session's shuffle partitions.
+FINER = 3
+
+
+def sum_tasks(spark: SparkSession) -> int:
+    """More than other shuffles have: lists are small, but what they unpack to is held as a hash table."""
+    return FINER * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def key_bits(spark: SparkSession) -> int:
     """Bits of a hash that are used: 32 within a bucket, and buckets enough to fill all tasks evenly."""
-    return LOW_BITS + max(12, (16 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+    return LOW_BITS + max(12, (16 * sum_tasks(spark)).bit_length())
 
 
 # ---- the table of proposed phrases
@@ -214,7 +223,7 @@ def tally(text: bytes, lang: str, tables: Tables, bits: int) -> Iterator[tuple[n
     if not len(codes):
         return
     seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "replace"))
-    of_word = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
+    of_word = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words.to_numpy(zero_copy_only=False)), dtype=np.uint64, count=len(words))
     size, unused = len(words), np.uint64(64 - bits)
     if tables.older is not None and tables.confirmed is not None:
         # what is counted now holds or is a phrase that the last pass found, of which there are few by now
@@ -292,9 +301,15 @@ def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatc
 
 
 def _summed(held: list[pa.Table]) -> pa.Table:
-    # on one thread: each further one would hold the rows in a table of its own
-    rows = pa.concat_tables(held).group_by(["bucket", "lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
-    return rows.rename_columns({"n_sum": "n"}).select(["bucket", "lang", "phrase", "n"])
+    # a part of the buckets at a time, and on one thread: grouping takes several times the memory of its rows
+    rows = pa.concat_tables(held)
+    part = np.concatenate([b.to_numpy() for b in rows.column("bucket").chunks] or [np.array([], dtype=np.int32)]) % PARTS
+    sums = []
+    for i in range(PARTS):
+        own = rows.filter(pa.array(part == i))
+        sums.append(own.group_by(["bucket", "lang", "phrase"], use_threads=False).aggregate([("n", "sum")]))
+        del own
+    return pa.concat_tables(sums).rename_columns({"n_sum": "n"}).select(["bucket", "lang", "phrase", "n"])
 
 
 def _with_no_lists(rows: pa.Table) -> list[pa.RecordBatch]:
@@ -330,8 +345,8 @@ def count(texts: DataFrame, tables: Tables) -> DataFrame:
                 sums[:] = [_summed(sums)]
                 if len(sums[0]) >= HELD // 2:
                     yield from _with_no_lists(sums.pop())
-                # what the sums took goes back to the system, which other tasks share
-                pa.default_memory_pool().release_unused()
+            # what a stretch and the sums took goes back to the system, which other tasks share
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
@@ -345,11 +360,15 @@ def count(texts: DataFrame, tables: Tables) -> DataFrame:
         if border:
             yield from _packed(border)
         if sums:
-            yield from _with_no_lists(_summed(sums))
-
-    # a number of partitions that stays: lists are small, but what they unpack to is not
-    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = texts.select("lang", "text").mapInArrow(run, ROWS).repartition(partitions, "bucket")
+            rest = _summed(sums)
+            sums.clear()
+            yield from _with_no_lists(rest)
+            del rest
+        # a worker that waits for its next task holds no more than the tables
+        pa.default_memory_pool().release_unused()
+
+    # a number of partitions that stays, as adaptive execution knows only the size of the lists
+    dealt = texts.select("lang", "text").mapInArrow(run, ROWS).repartition(sum_tasks(texts.sparkSession), "bucket")
     unpacked = dealt.select("bucket", "lang", "phrase", "n", F.explode_outer("lows").alias("low"))
     return unpacked.groupBy("bucket", "low", "lang", "phrase").agg(F.sum("n").alias("n"))
 

@@ -3,6 +3,8 @@
 import collections
 import random
 import re
+import threading
+import time
 
 import duckdb
 import numpy as np
@@ -150,3 +152,31 @@ def test_late_passes_go_through_pieces_with_new_phrases_only(monkeypatch):
     assert [(p.to_pylist(), n.tolist()) for _, n, p in found if p is not None] == [(["b c"], [3])]
     walked.clear()
     assert not list(co.tally(b"e f g h. x y", "en", co.Tables(full, full, empty, new), bits)) and not walked
+
+
+def test_sums_of_text_take_little_more_than_their_rows():
+    rng, rows = np.random.default_rng(5), 120_000
+    parts = []
+    for lang in ("x", "y"):
+        ids = rng.integers(0, rows, rows)
+        parts.append(pa.table({"bucket": (ids % 4001).astype(np.int32), "lang": [lang] * rows, "phrase": [f"some words {i}" for i in ids], "n": np.full(rows, 3)}))
+    want = collections.Counter()
+    for lang, part in zip("xy", parts):
+        for b, p in zip(part["bucket"].to_pylist(), part["phrase"].to_pylist()):
+            want[b, lang, p] += 3
+    pool, held, done = pa.default_memory_pool(), [], threading.Event()
+
+    def watch():
+        while not done.is_set():
+            held.append(pool.bytes_allocated())
+            time.sleep(0.0005)
+
+    before, watcher = pool.bytes_allocated(), threading.Thread(target=watch)
+    watcher.start()
+    summed = co._summed(parts)
+    done.set()
+    watcher.join()
+    got = {(r["bucket"], r["lang"], r["phrase"]): r["n"] for r in summed.to_pylist()}
+    assert got == want and len(summed) == len(want)
+    assert max(held) - before < 1.7 * sum(part.nbytes for part in parts)
+    assert co._summed([part.slice(0, 0) for part in parts]).num_rows == 0
