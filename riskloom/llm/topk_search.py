@@ -11,8 +11,10 @@ the first components hold most of a product. For a block of queries and a block
   and only what survives all of them is computed exactly, on the unrotated integers.
 
 What queries already have comes from a first pass against the `SEED` longest candidates, whose
-table has that fixed size and is broadcast. Blocks meet by lane: each query block goes to all lanes
-of candidate blocks, as whole blocks, and the join keeps the pairs that length allows. Per pair a
+table has that fixed size and is broadcast; they are the first rows of the first candidate blocks, and
+only these reach the driver. Stored candidate blocks, dealt by number, pass along groups of query
+blocks of at most about `GROUP_BYTES`: each pair of a stored part and a group is a task, nothing is
+copied, shuffled by pairs or broadcast, and the join keeps the pairs that length allows. Per pair a
 query gives at most k rows; the best k of each query are ranked at the end.
 
 Components become floor(scale * x). Defined results: vectors that are null, empty, of another
@@ -37,6 +39,8 @@ from ..session import work_dir
 SEED = 4096
 CANDIDATE_BLOCK = 2048
 QUERY_BLOCK = 512
+#: Query blocks that a task holds in memory.
+GROUP_BYTES = 32 << 20
 #: Components after which bounds are tested.
 STEPS = (8, 16, 32)
 #: What rounding may add to a bound, relative to the product of the lengths.
@@ -91,14 +95,16 @@ def rotation(rows: DataFrame) -> np.ndarray:
     return np.linalg.eigh(gram)[1][:, ::-1] if size else gram
 
 
-def _packed(rows: DataFrame, block: int, turned: np.ndarray, with_floor: bool = False) -> DataFrame:
-    """Blocks of rows in the order they come: ids, lengths, integers and rotated components as bytes.
+def _packed(rows: DataFrame, block: int, turned: np.ndarray | None = None) -> DataFrame:
+    """Blocks of rows in the order they come: ids, lengths and integers as bytes.
 
-    With floors, `need` is the least length a candidate must have for some query of the block.
+    Blocks of queries, which give `turned`, have rotated components and floors too, and in `need` the
+    least length a candidate must have for some query of the block.
     """
-    schema = "block long, longest double, ids binary, norms binary, ints binary, turned binary, size int"
+    with_floor = turned is not None
+    schema = "block long, longest double, ids binary, norms binary, ints binary, size int"
     if with_floor:
-        schema += ", floor binary, need double"
+        schema += ", turned binary, floor binary, need double"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -112,14 +118,13 @@ def _packed(rows: DataFrame, block: int, turned: np.ndarray, with_floor: bool =
             x = np.vstack(part.column("v").to_pylist())
             norms = np.sqrt(part.column("norm2").to_numpy())
             values = [
-                [number], [float(norms.max())], [ids.tobytes()], [norms.tobytes()], [x.tobytes()], [(x @ turned).tobytes()],
-                [len(ids)],
+                [number], [float(norms.max())], [ids.tobytes()], [norms.tobytes()], [x.tobytes()], [len(ids)],
             ]
-            kinds = [pa.int64(), pa.float64(), *[pa.binary()] * 4, pa.int32()]
+            kinds = [pa.int64(), pa.float64(), *[pa.binary()] * 3, pa.int32()]
             if with_floor:
                 floor, need = (part.column(c).to_numpy() for c in ("floor", "need"))
-                values += [[floor.tobytes()], [float(need.min())]]
-                kinds += [pa.binary(), pa.float64()]
+                values += [[(x @ turned).tobytes()], [floor.tobytes()], [float(need.min())]]
+                kinds += [pa.binary(), pa.binary(), pa.float64()]
             number += 1
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(values, kinds)], names=[c.split()[0] for c in schema.split(", ")]
@@ -176,6 +181,19 @@ def best(q, q_turned, q_norms, q_ids, c, c_turned, c_norms, c_ids, k: int, floor
     return alive_q[top], alive_c[top], score[top]
 
 
+def longest(c_blocks: DataFrame, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and integers of the `SEED` longest candidates. Blocks are numbered by length, and a block has a row at least."""
+    last, total = -1, 0
+    for r in c_blocks.select("block", "size").orderBy("block").limit(SEED).collect():
+        last, total = r["block"], total + r["size"]
+        if total >= SEED:
+            break
+    found = c_blocks.filter(F.col("block") <= last).select("block", "ids", "ints").collect()
+    found.sort(key=lambda r: r["block"])
+    ids = np.frombuffer(b"".join(r["ids"] for r in found), dtype=np.int64)
+    return ids[:SEED], np.frombuffer(b"".join(r["ints"] for r in found)).reshape(len(ids), dims)[:SEED]
+
+
 def _matrix(value: pa.Scalar, rows: int) -> np.ndarray:
     return np.frombuffer(value.as_buffer()).reshape(rows, -1)
 
@@ -186,13 +204,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.
     rows = prepared(vectors, scale, vec_id, vector)
     turned = rotation(rows)
     queries = rows.filter(is_query)
-    lanes = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    c_blocks = _stored(
+        _packed(
+            rows.repartitionByRange(F.desc("norm2"), F.col("vec_id")).sortWithinPartitions(F.desc("norm2"), "vec_id"),
+            CANDIDATE_BLOCK,
+        ).repartition("block"),
+        "topk-candidates",
+    )
 
     # first pass: what every query has among the longest candidates
-    longest = rows.orderBy(F.desc("norm2"), "vec_id").limit(SEED).select("vec_id", "v").collect()
-    s_ids = np.array([r["vec_id"] for r in longest], dtype=np.int64)
-    s_rows = np.array([r["v"] for r in longest]) if longest else np.zeros((0, len(turned)))
-    seeds = spark.sparkContext.broadcast((s_ids, s_rows))
+    seeds = spark.sparkContext.broadcast(longest(c_blocks, len(turned)))
 
     def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, x = seeds.value
@@ -212,37 +233,37 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.
     q_blocks = _stored(
         _packed(
             seeded.withColumn("need", need).repartitionByRange(F.col("need"), F.col("vec_id")).sortWithinPartitions("need"),
-            QUERY_BLOCK, turned, with_floor=True,
+            QUERY_BLOCK, turned,
         ),
         "topk-queries",
     )
-    c_blocks = _stored(
-        _packed(
-            rows.repartitionByRange(F.desc("norm2"), F.col("vec_id")).sortWithinPartitions(F.desc("norm2"), "vec_id"),
-            CANDIDATE_BLOCK, turned,
-        ),
-        "topk-candidates",
-    )
-
     q_side = q_blocks.select(
         F.col("block").alias("q_block"),
         *[F.col(c).alias(f"q_{c}") for c in ("ids", "norms", "ints", "turned", "size", "floor")],
         F.col("need").alias("q_need"),
-        F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"),
     )
-    c_side = c_blocks.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int"))
-    met = c_side.join(q_side, "lane").filter(F.col("longest") * (1 + SLACK) >= F.col("q_need"))
+    # a task holds its group of query blocks whole; few parts of candidates meet more groups; the hint keeps Spark from sending a side to all by the size of its files
+    held = max(1, GROUP_BYTES // (QUERY_BLOCK * 16 * max(1, len(turned))))
+    blocks, parts = q_blocks.count(), max(1, c_blocks.rdd.getNumPartitions())
+    lanes = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    groups = max(1, -(-blocks // held), min(blocks, -(-lanes // parts)))
+    q_side = q_side.repartition(groups, "q_block")
+    met = c_blocks.join(q_side.hint("shuffle_replicate_nl"), F.col("longest") * (1 + SLACK) >= F.col("q_need"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = rotated = None
         for batch in batches:
             of = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             for i in range(batch.num_rows):
                 n, m = of["q_size"][i].as_py(), of["size"][i].as_py()
                 q_ids, c_ids = (np.frombuffer(of[x][i].as_buffer(), dtype=np.int64) for x in ("q_ids", "ids"))
+                block, ints = of["block"][i].as_py(), _matrix(of["ints"][i], m)
+                if block != held:  # it meets the queries of a group one after the other
+                    held, rotated = block, ints @ turned
                 x, y, score = best(
                     _matrix(of["q_ints"][i], n), _matrix(of["q_turned"][i], n),
                     np.frombuffer(of["q_norms"][i].as_buffer()), q_ids,
-                    _matrix(of["ints"][i], m), _matrix(of["turned"][i], m),
+                    ints, rotated,
                     np.frombuffer(of["norms"][i].as_buffer()), c_ids, k, np.frombuffer(of["q_floor"][i].as_buffer()),
                 )
                 yield pa.RecordBatch.from_arrays(
@@ -254,7 +275,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.
                 )
 
     columns = [f"q_{c}" for c in ("block", "ids", "norms", "ints", "turned", "size", "floor")]
-    found = met.select(*columns, "ids", "norms", "ints", "turned", "size").mapInArrow(
+    found = met.select(*columns, "block", "ids", "norms", "ints", "size").mapInArrow(
         compare, "q_block long, q_row int, query_id long, vec_id long, score long"
     )
     own = Window.partitionBy("q_block", "q_row", "query_id").orderBy(F.desc("score"), "vec_id")

@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 from compare import differences
+from pyspark.sql import functions as F
 
 from riskloom.llm import mixing, near_dedup, quality_classifier, quality_rules, topk_search, warc
 
@@ -83,6 +84,31 @@ def test_small_blocks_and_seeds_give_the_same(spark, monkeypatch, sf):
     assert differences(topk_search.digest(spark.read.parquet(f"{sf}/embeddings.parquet")), con, topk_search.SQL) == []
 
 
+def test_search_sends_no_blocks_to_the_driver(spark, monkeypatch):
+    for name, value in (("SEED", 5), ("CANDIDATE_BLOCK", 4), ("QUERY_BLOCK", 2), ("GROUP_BYTES", 1)):
+        monkeypatch.setattr(topk_search, name, value)
+    x = np.random.default_rng(4).normal(size=(300, 3))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = topk_search.search(rows, F.col("vec_id") % 20 == 0)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    ints = np.floor(256 * x.astype(np.float32).astype(float))
+    expected = set()
+    for q in range(0, 300, 20):
+        score = {c: int(ints[q] @ ints[c]) for c in range(300) if c != q}
+        expected |= {(q, r + 1, c, score[c]) for r, c in enumerate(sorted(score, key=lambda c: (-score[c], c))[:5])}
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect()} == expected
+
+
+def test_longest_come_from_the_first_blocks(spark):
+    x = [[float(i % 97), 1.0] for i in range(500)]
+    rows = topk_search.prepared(spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<float>"))
+    order = rows.repartitionByRange(F.desc("norm2"), F.col("vec_id")).sortWithinPartitions(F.desc("norm2"), "vec_id")
+    blocks = topk_search._stored(topk_search._packed(order, 7).repartition("block"), "blocks")
+    ids, ints = topk_search.longest(blocks, 2)
+    assert ids.tolist() == sorted(range(500), key=lambda i: (-(i % 97), i))
+    assert ints.tolist() == [[256.0 * (i % 97), 256.0] for i in ids]
+
+
 def test_search_of_few_rows(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (50, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, topk_search.digest(few).collect())) == [(0, 1, 50, 3 * 65536), (50, 1, 0, 3 * 65536)]
