@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions import ratio
 from ..session import cut_lineage, stored, work_dir
+from . import lists
 from .proximity import density
 from .spread import KeyTable
 
+#: Entries of lists that go along edges in one turn, per edge.
+TOLD = 8
+
 
 def undirected(edges: DataFrame) -> DataFrame:
     """Each linked pair once, smaller id first, without loops."""
@@ -103,7 +107,9 @@ def triangles(edges: DataFrame) -> DataFrame:
     Edges point from lower to higher degree. No vertex then has more than sqrt(2 * edges)
     successors, hubs included, so successor lists stay small; each edge intersects two. What edges
     learn of a hub, its degree or its list, goes to slots that the hub's edges are dealt to. Lists
-    go from upper to lower ends, so that only edges whose upper end has successors move one.
+    go from upper to lower ends, so that only edges whose upper end has successors move one, packed as
+    bytes (`lists`). Where they come to more than `TOLD` entries an edge, lower ends take turns, so
+    that only the lists of one turn are on the disks at a time. Ids are whole numbers.
     """
     pairs = stored(undirected(edges), "pairs")
     return _triangles(pairs, _degree_table(pairs))
@@ -123,26 +129,29 @@ def _triangles(pairs: DataFrame, known: KeyTable) -> DataFrame:
         F.when(rises, F.col("src")).otherwise(F.col("dst")).alias("src"),
         F.when(rises, F.col("dst")).otherwise(F.col("src")).alias("dst"),
     )
-    following = stored(upward.groupBy("src").agg(F.collect_list("dst").alias("src_next")), "following")
+    following = stored(upward.groupBy("src").agg(F.sort_array(F.collect_list("dst")).alias("src_next")), "following")
     # how many edges end in a vertex is how often its list is asked for there
     entering = following.select(F.explode("src_next").alias("id")).groupBy("id").agg(F.count("*").alias("entering"))
-    lists = following.select(F.col("src").alias("id"), F.col("src_next").alias("dst_next"))
-    upper = KeyTable(lists.join(entering, "id"), ["id"], "entering")
+    upper = KeyTable(lists.packed(following, "src", "src_next", "id").join(entering, "id"), ["id"], "entering")
     wide = following.filter(F.size("src_next") > 1)
+    told, edges = upper.table.agg(F.sum(F.col("entering") * F.col("n")), F.sum("entering")).first()
+    passes = -(-(told or 0) // (TOLD * max(1, edges or 0)))
+    found = [_closed(wide, upper, i, passes) for i in range(max(1, passes))]
+    if passes > 1:
+        found = [stored(df, "corners") for df in found]
+    return reduce(DataFrame.unionAll, found).groupBy("id").agg(F.sum("n").alias("triangles"))
+
+
+def _closed(wide: DataFrame, upper: KeyTable, turn: int, passes: int) -> DataFrame:
+    """(id, n): triangles at their corners, of one of `passes` shares of the lowest corners."""
+    if passes > 1:
+        wide = wide.filter(F.pmod(F.xxhash64(F.lit("pass"), "src"), F.lit(passes)) == turn)
     asking = wide.select("src", F.explode("src_next").alias("id"))
-    told = upper.join(asking, "src", "dst_next").withColumnRenamed("id", "dst")
+    told = upper.join(asking, "src", "first", "n", "steps").withColumnRenamed("id", "dst")
+    own = lists.packed(wide, "src", "src_next", "src").select("src", *[F.col(c).alias(f"own_{c}") for c in ("first", "n", "steps")])
     # the lists told are many, and need no order; a lower end has one list, of bounded length
-    closed = (
-        told.join(wide.hint("shuffle_hash"), "src")
-        .select("src", "dst", F.array_intersect("src_next", "dst_next").alias("third"))
-        .filter(F.size("third") > 0)
-    )
-    n = F.size("third").cast("long")
-    corner = F.concat(
-        F.array(F.struct(F.col("src").alias("id"), n.alias("n")), F.struct(F.col("dst").alias("id"), n.alias("n"))),
-        F.transform("third", lambda v: F.struct(v.alias("id"), F.lit(1).cast("long").alias("n"))),
-    )
-    return closed.select(F.inline(corner)).groupBy("id").agg(F.sum("n").alias("triangles"))
+    both = told.join(own.hint("shuffle_hash"), "src")
+    return lists.corners(both).groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def triangle_count(edges: DataFrame) -> DataFrame:

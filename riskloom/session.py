@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,8 +60,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Spark removes the shuffle files of a query as soon as it has ended.
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_go(spark: SparkSession):
+    """Within, shuffle files of a written table go once it is written, so that the steps of a job don't add up on the disks."""
+    before = spark.conf.get(_SHUFFLES_GO, None)
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLES_GO)
+        else:
+            spark.conf.set(_SHUFFLES_GO, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again; unlike a checkpoint, its size is known to joins."""
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_go(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

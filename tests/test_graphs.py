@@ -1,11 +1,13 @@
 import random
 import re
+import time
 from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import graph, proximity
+from riskloom import session
+from riskloom.operators import graph, lists, proximity
 from riskloom.operators.spread import KeyTable
 from riskloom.plans import catalog, queries_graph  # noqa: F401
 
@@ -345,3 +347,41 @@ def test_lists_of_lower_ends_do_not_go_along_with_edges(spark, plain_joins):
         # an exploded list that stays in the row has no number among the columns left out
         assert re.findall(r"Generate explode\(\w+#\d+\), \[\d+\]", plan) == re.findall(r"Generate explode\(\w+#\d+\), \[\d*\]", plan) != []
         assert {r.triangles for r in table.collect()} == {55}
+
+
+def test_shuffle_files_go_once_a_table_is_stored(spark):
+    rows = session.stored(spark.range(2000).repartition(7, "id"), "rows")
+    status = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    before = status.diskBlockManager().getAllFiles().size()
+    session.stored(rows.groupBy((F.col("id") % 50).alias("k")).agg(F.collect_list("id").alias("ids")), "again")
+    assert spark.conf.get(session._SHUFFLES_GO) == "false"
+    for _ in range(50):
+        if status.diskBlockManager().getAllFiles().size() <= before:
+            break
+        time.sleep(0.1)
+    assert status.diskBlockManager().getAllFiles().size() <= before
+
+
+def test_lists_go_along_edges_in_bytes_and_in_turns(spark, monkeypatch):
+    assert "steps" in graph.triangles(spark.createDataFrame([(1, 2), (2, 3), (1, 3)], "src long, dst long"))._jdf.queryExecution().toString()
+    rng = random.Random(12)
+    far = [rng.randrange(-(2**62), 2**62) for _ in range(20)] + list(range(40)) + [10**6 + 7 * i for i in range(20)] + [2**63 - 1, -(2**63)]
+    edges = [tuple(rng.sample(far, 2)) for _ in range(1200)] + [(5, 5)]
+    near = adjacency(edges)
+    table = spark.createDataFrame(edges, "src long, dst long")
+    for told in (1, 1000):
+        monkeypatch.setattr(graph, "TOLD", told)
+        got = {r.id: r.triangles for r in graph.triangles(table).collect()}
+        assert got == {v: t for v in near if (t := triangles_at(near, v))}
+
+
+def test_packed_lists_are_unpacked_alike(spark):
+    rows = [(1, [5]), (2, [-(2**63), 2**63 - 1]), (3, []), (4, [0, 255, 510]), (5, [0, 256]), (6, [3, 70000, 70001]), (7, [1, 2**40])]
+    table = spark.createDataFrame(rows, "k long, v array<long>").coalesce(1)
+    got = lists.packed(table, "k", "v", "id").toArrow().combine_chunks()
+    first, n, steps = (got.column(c).combine_chunks() for c in ("first", "n", "steps"))
+    flat, at, found = lists.unpacked(first.to_numpy(), n.to_numpy(), steps).tolist(), 0, {}
+    for k, size in zip(got.column("id").to_pylist(), n.to_pylist()):
+        found[k], at = flat[at : at + size], at + size
+    assert found == {k: v for k, v in rows if v}
+    assert {k: len(x) for k, x in zip(got.column("id").to_pylist(), steps.to_pylist())} == {1: 0, 2: 8, 4: 2, 5: 2, 6: 8, 7: 8}
