@@ -1,13 +1,15 @@
+import collections
 import random
 import re
 import time
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom import session
-from riskloom.operators import graph, lists, proximity
+from riskloom.operators import graph, lists, packed, proximity
 from riskloom.operators.spread import KeyTable
 from riskloom.plans import catalog, queries_graph  # noqa: F401
 
@@ -385,3 +387,40 @@ def test_packed_lists_are_unpacked_alike(spark):
         found[k], at = flat[at : at + size], at + size
     assert found == {k: v for k, v in rows if v}
     assert {k: len(x) for k, x in zip(got.column("id").to_pylist(), steps.to_pylist())} == {1: 0, 2: 8, 4: 2, 5: 2, 6: 8, 7: 8}
+
+
+def test_packed_edges_stay_and_hubs_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(packed, "PART", 500)
+    cut = packed.PackedGraph(spark.createDataFrame(hub_graph(), "src long, dst long"))
+    rows = cut.edges.collect()
+    assert cut.hubs.tolist() == [0] and cut.parts == -(-len(hub_graph()) // 500) == len(rows)
+    held = [len(r["take"]) // 4 for r in rows]
+    assert sum(held) == len(hub_graph()) and max(held) < 0.2 * sum(held)
+    state = cut.first_state()
+    size, sinks, _, moved, sends = cut.totals(state)
+    ids = {v for e in hub_graph() for v in e}
+    assert (size, sinks, moved, sends.tolist()) == (len(ids), len(ids - {a for a, _ in hub_graph()}), 0, [0.0])
+    sent = cut.next_state(cut.next_state(state, sends, 1.0, -1.0, 1.0, send=False), np.array([1.0]), 0.0, 0.0, 1.0)
+    got = {r.id: r["rank"] for r in packed.PackedGraph.ranks(sent).collect()}
+    out = collections.Counter(a for a, _ in hub_graph())
+    expected = dict.fromkeys(ids, 1.0)
+    for a, b in hub_graph():
+        expected[b] += 1.0 / out[a] if a else 1.0
+    assert got == pytest.approx(expected)
+
+
+def test_ends_without_id_receive_and_do_not_send(spark):
+    edges = [(1, 2), (2, 1), (1, None), (None, 2), (2, 3), (2**63 - 1, 0), (0, -(2**63))]
+    table = spark.createDataFrame(edges, "src long, dst long")
+    rank = dict.fromkeys({v for e in edges for v in e}, 1 / 7)
+    out = collections.Counter(a for a, _ in edges)
+    for _ in range(4):
+        lost = sum(rank[v] for v in rank if not out[v])
+        new = dict.fromkeys(rank, (0.15 + 0.85 * lost) / 7)
+        for a, b in edges:
+            if a is not None:
+                new[b] += 0.85 * rank[a] / out[a]
+        rank = new
+    got = graph.pagerank(table, rounds=4)
+    assert got.schema["id"].dataType.simpleString() == "bigint"
+    assert {r.id: r["rank"] for r in got.collect()} == pytest.approx(rank)
