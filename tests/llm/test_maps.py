@@ -237,7 +237,7 @@ def test_odd_quality(spark):
     docs = odd_documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int")
     got = quality_classifier.digest(docs, none).collect()
-    assert len(got) == 7 and {round(r["score"], 6) for r in got} == {0.5}
+    assert len(got) == 9 and {round(r["score"], 6) for r in got} == {0.5}
     one = spark.createDataFrame([(3, 1), (3, 1), (4, None), (None, 0), (4, 7)], "doc_id long, quality int")
     model = quality_classifier.fit(docs, one)
     assert all(r["score"] > 0.9 for r in quality_classifier.score(docs, model).collect())
